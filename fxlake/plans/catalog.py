@@ -21,12 +21,18 @@ from fxlake.operators import trial_balance as TB
 from fxlake.operators.dedup import new_against_registry
 from fxlake.operators.entries import generate
 from fxlake.operators.period import aggregate_for_period
-from fxlake.session import configure, stage_table
+from fxlake.operators.canonical import canonicalize
+from fxlake.operators.dedup import keep_one_per_key
+from fxlake.operators.quality import quarantine_split as split_valid
+from fxlake.session import checkpoint_dir, configure, stage_table
+from fxlake.sources import files as FS
+from fxlake.streaming import ingest as ST
 from fxlake.sources.fixture import (
     FIXTURE_GEOS,
     account_reference,
     approval_decisions,
     booking_audit,
+    event_payloads,
     raw_journal_lines,
     trial_balance,
 )
@@ -231,6 +237,91 @@ def idempotent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .select("batch_id", "accepted", (F.col("incoming") - F.col("accepted")).alias("skipped")))
 
 
+# ---------------------------------------------------------------------------
+# Sources, sinks and the event stream (file round trips in the checkpoint folder)
+# ---------------------------------------------------------------------------
+
+NULL_MARKER = "\\N"
+
+
+def _scratch(spark: SparkSession, label: str) -> str:
+    import os
+    import uuid
+
+    return os.path.join(checkpoint_dir(spark), "runs", f"{label}-{uuid.uuid4().hex}")
+
+
+def roundtrip_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines -> CSV per batch -> CSV source (S1) -> canonical -> Silver sink (S9) -> read."""
+    import os
+
+    root = _scratch(spark, "csv")
+    raw = raw_journal_lines(spark, sf_dir)
+    raw.write.option("header", True).option("nullValue", NULL_MARKER).partitionBy("batch_id").csv(
+        os.path.join(root, "landing"))
+    src = FS.read_csv_batch(spark, os.path.join(root, "landing"), null_value=NULL_MARKER)
+    canon = canonicalize(src, source_system=F.concat(F.col("ledger_source"), F.lit("_FX")),
+                         batch_id=None, keep=["ledger_source", "geo_tag", "delivery"])
+    canon = canon.withColumn("delivery", F.col("delivery").cast("int"))
+    valid, bad = split_valid(canon)
+    silver = keep_one_per_key(valid, "surrogate_key", ["payload_hash", "delivery"])
+    FS.write_silver(silver, os.path.join(root, "silver"))
+    FS.write_quarantine(bad, os.path.join(root, "quarantine"))
+    back = spark.read.parquet(os.path.join(root, "silver"))
+    return back.select(*LINE_COLUMNS)
+
+
+def roundtrip_json_wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines -> ``{"journal_lines": [...]}`` JSON lines -> unwrap (S2, S3) -> canonical ->
+    quarantine sink (S11, JSON) -> read back."""
+    import os
+
+    root = _scratch(spark, "json")
+    raw = raw_journal_lines(spark, sf_dir)
+    wrapped = raw.select("batch_id", F.to_json(F.struct(F.array(F.struct(
+        *[c for c in raw.columns if c != "batch_id"])).alias("journal_lines"))).alias("value"))
+    wrapped.write.partitionBy("batch_id").text(os.path.join(root, "landing"))
+    src = FS.read_json_batch(spark, os.path.join(root, "landing"), multi_line=False)
+    canon = canonicalize(src.withColumn("batch_id", F.regexp_extract("_source_path", "batch_id=([^/]+)", 1)),
+                         source_system=F.concat(F.col("ledger_source"), F.lit("_FX")), batch_id=None,
+                         keep=["delivery"])
+    _, bad = split_valid(canon)
+    FS.write_quarantine(bad.withColumn("delivery", F.col("delivery").cast("int")), os.path.join(root, "quarantine"))
+    back = spark.read.schema(
+        "source_system string, journal_id string, journal_line_num int, surrogate_key string, "
+        "delivery int, quarantine_reason string, batch_id string").json(os.path.join(root, "quarantine"))
+    return back.select("batch_id", "journal_id", "journal_line_num", "source_system",
+                       "surrogate_key", "delivery", "quarantine_reason")
+
+
+def _stream_runs(spark: SparkSession, sf_dir: str) -> str:
+    """Three availableNow runs over one checkpoint: all events, one corrupt payload, all events again."""
+    import datetime as dt
+    import os
+
+    root = _scratch(spark, "stream")
+    inbox = os.path.join(root, "inbox")
+    payloads = event_payloads(spark, sf_dir)
+    run_ts = dt.datetime(2024, 1, 1)
+    payloads.write.mode("append").text(inbox)
+    ST.run_available(spark, inbox, root, run_ts)
+    spark.createDataFrame([("%%% not base64 %%%",)], "value string").write.mode("append").text(inbox)
+    ST.run_available(spark, inbox, root, run_ts)
+    payloads.write.mode("append").text(inbox)
+    ST.run_available(spark, inbox, root, run_ts)
+    return root
+
+
+def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze after the three runs: every event exactly once."""
+    return ST.read_bronze(spark, _stream_runs(spark, sf_dir)).select(*ST.BRONZE_COLUMNS)
+
+
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters per micro-batch: accepted / skipped / corrupt."""
+    return ST.read_counters(spark, _stream_runs(spark, sf_dir)).select("epoch", "accepted", "skipped", "corrupt")
+
+
 def _configured(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
@@ -269,6 +360,10 @@ _QUERIES = {
     "approval_rejected_decisions": approval_rejected_decisions,
     "booking_status": booking_status,
     "idempotent_ingest": idempotent_ingest,
+    "roundtrip_csv": roundtrip_csv,
+    "roundtrip_json_wrapped": roundtrip_json_wrapped,
+    "stream_bronze": stream_bronze,
+    "stream_replay": stream_replay,
 }
 
 QUERIES = {k: _configured(v) for k, v in _QUERIES.items()}

@@ -446,3 +446,56 @@ inc AS (SELECT batch_id, count(*) AS incoming FROM valid GROUP BY batch_id)""",
 SELECT i.batch_id, coalesce(a.accepted, 0) AS accepted, i.incoming - coalesce(a.accepted, 0) AS skipped
 FROM inc i LEFT JOIN acc a ON a.batch_id = i.batch_id"""),
 })
+
+
+# ---------------------------------------------------------------------------
+# File round trips and the event stream
+# ---------------------------------------------------------------------------
+
+_STREAM_KEY = ("md5(concat_ws('||', 'ICO_FX', journal_id, coalesce(CAST(journal_line_num AS VARCHAR), ''), "
+               "coalesce(CAST(effective_date AS VARCHAR), ''), coalesce(CAST(entered_dr AS VARCHAR), '0')))")
+
+STREAM_ROWS = f"""
+ev0 AS (
+  SELECT 'ICO_FX' AS source_system,
+    'IC-' || CAST(user_id AS VARCHAR) AS journal_id,
+    CAST(event_id AS INTEGER) AS journal_line_num,
+    'IC-PRIMARY' AS ledger_id,
+    CAST(ts AS DATE) AS effective_date,
+    upper(strftime(CAST(ts AS DATE), '%b-%Y')) AS period_name,
+    'USD' AS currency_code,
+    CAST(value AS DECIMAL(20,4)) AS entered_dr,
+    CAST(NULL AS DECIMAL(20,4)) AS entered_cr,
+    CAST(NULL AS DECIMAL(20,4)) AS accounted_dr,
+    CAST(NULL AS DECIMAL(20,4)) AS accounted_cr,
+    CAST('1.00000000' AS DECIMAL(18,8)) AS fx_rate,
+    'E' || CAST(user_id % 5 AS VARCHAR) AS segment1_entity,
+    CAST(NULL AS VARCHAR) AS segment2_cost_center,
+    event_type AS segment3_account,
+    CAST(NULL AS VARCHAR) AS segment4_project,
+    CAST(NULL AS VARCHAR) AS segment5_intercompany,
+    json_extract_string(props, '$.k') AS segment6_product,
+    '000' AS segment7_spare,
+    '' AS description,
+    'ico-stream-20240101' AS batch_id
+  FROM events
+),
+ev AS (
+  SELECT *, {_STREAM_KEY} AS surrogate_key, {_hash_expr_sql()} AS payload_hash FROM ev0
+)"""
+
+ORACLES.update({
+    "roundtrip_csv": ORACLES["dedup_lines"],
+    "roundtrip_json_wrapped": ORACLES["quarantine_split"],
+    "stream_bronze": with_ctes(STREAM_ROWS, body="""
+SELECT surrogate_key, source_system, journal_id, journal_line_num, ledger_id, effective_date, period_name,
+  currency_code, entered_dr, entered_cr, accounted_dr, accounted_cr, fx_rate, segment1_entity,
+  segment2_cost_center, segment3_account, segment4_project, segment5_intercompany, segment6_product,
+  segment7_spare, description, batch_id, payload_hash
+FROM ev"""),
+    "stream_replay": with_ctes(STREAM_ROWS, body="""
+SELECT CAST(0 AS BIGINT) AS epoch, count(DISTINCT surrogate_key) AS accepted,
+       count(*) - count(DISTINCT surrogate_key) AS skipped, CAST(0 AS BIGINT) AS corrupt FROM ev
+UNION ALL SELECT CAST(1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS BIGINT)
+UNION ALL SELECT CAST(2 AS BIGINT), CAST(0 AS BIGINT), count(*), CAST(0 AS BIGINT) FROM ev"""),
+})

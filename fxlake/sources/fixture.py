@@ -191,3 +191,28 @@ def booking_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         _target_batch().alias("journal_batch_id"),
         _case(F.col("event_type"), AUDIT_STATUS_BY_EVENT).alias("status"),
     )
+
+
+def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as stream input: base64 text of one JSON object per event (FIXTURES B4).
+
+    Even event ids carry the account flat (``segment3_account``), odd ones nested
+    (``account_segments.account``); the entity comes from the legacy field.
+    """
+    ev = table(spark, sf_dir, "events")
+    even = (F.col("event_id") % 2) == 0
+    payload = F.to_json(F.struct(
+        F.concat(F.lit("IC-"), F.col("user_id").cast("string")).alias("journal_id"),
+        F.col("event_id").cast("string").alias("ledger_line_num"),
+        F.lit("IC-PRIMARY").alias("ledger_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("effective_date"),
+        F.lit("USD").alias("currency_code"),
+        F.col("value").cast(AMOUNT_TYPE).cast("string").alias("entered_dr"),
+        F.lit("1.00000000").alias("fx_rate"),
+        F.when(even, F.col("event_type")).alias("segment3_account"),
+        F.struct(F.when(~even, F.col("event_type")).alias("account"),
+                 F.get_json_object("props", "$.k").alias("product")).alias("account_segments"),
+        F.concat(F.lit("E"), (F.col("user_id") % 5).cast("string")).alias("legal_entity"),
+    ))
+    # One event per line: drop any line breaks a chunking base64 encoder inserts.
+    return ev.select(F.regexp_replace(F.base64(F.encode(payload, "UTF-8")), r"\s+", "").alias("value"))
