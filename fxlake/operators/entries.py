@@ -104,34 +104,40 @@ def build_entries(assigned: DataFrame, period_type: str, run_ts: dt.datetime = D
     ``assigned`` carries ``batch_id``, ``period_end``, ``ledger_source``, ``geo``
     and the sub-ledger fields (any may be null: defaults apply).
     """
-    numbered = number_within(assigned, ["batch_id", "ledger_source", "geo"],
-                             ["journal_id", "journal_line_num", "surrogate_key"], out="_line")
+    order = [c for c in ["journal_id", "journal_line_num", "surrogate_key"] if c in assigned.columns]
+    numbered = number_within(assigned, ["batch_id", "ledger_source", "geo"], order, out="_line")
+    has = set(numbered.columns)
+
+    def opt(name: str, dtype: str = "string"):
+        """The sub-ledger field, or a typed null when the input has no such column."""
+        return F.col(name) if name in has else F.lit(None).cast(dtype)
+
     geo = F.col("geo")
     source = F.col("ledger_source")
-    entered_dr = F.coalesce(F.col("entered_dr"), F.lit(0).cast(AMOUNT_TYPE))
-    entered_cr = F.coalesce(F.col("entered_cr"), F.lit(0).cast(AMOUNT_TYPE))
+    entered_dr = F.coalesce(opt("entered_dr", "decimal(20,4)"), F.lit(0).cast(AMOUNT_TYPE))
+    entered_cr = F.coalesce(opt("entered_cr", "decimal(20,4)"), F.lit(0).cast(AMOUNT_TYPE))
     cols = {
         "source_system": F.concat(source, F.lit("_FX")),
-        "journal_id": F.coalesce(F.col("journal_id"), F.concat_ws(
+        "journal_id": F.coalesce(opt("journal_id", "string"), F.concat_ws(
             "-", source, geo, F.substring(F.md5(F.concat_ws("|", source, geo, F.col("batch_id"))), 1, 8))),
         "journal_line_num": F.col("_line"),
-        "ledger_id": F.coalesce(F.col("ledger_id"), F.concat(geo, F.lit(PRIMARY_LEDGER_SUFFIX))),
+        "ledger_id": F.coalesce(opt("ledger_id", "string"), F.concat(geo, F.lit(PRIMARY_LEDGER_SUFFIX))),
         "effective_date": F.col("period_end"),
         "period_name": period_name(F.col("period_end")),
-        "currency_code": F.coalesce(F.col("currency_code"), F.lit(ENTRY_DEFAULT_CURRENCY)),
+        "currency_code": F.coalesce(opt("currency_code", "string"), F.lit(ENTRY_DEFAULT_CURRENCY)),
         "entered_dr": entered_dr,
         "entered_cr": entered_cr,
-        "accounted_dr": F.coalesce(F.col("accounted_dr"), entered_dr),
-        "accounted_cr": F.coalesce(F.col("accounted_cr"), entered_cr),
-        "fx_rate": F.coalesce(F.col("fx_rate"), F.lit(ENTRY_DEFAULT_FX_RATE).cast(RATE_TYPE)),
-        "segment1_entity": F.coalesce(F.col("segment1_entity"), geo),
-        "segment2_cost_center": F.coalesce(F.col("segment2_cost_center"), F.lit(ENTRY_DEFAULT_COST_CENTER)),
-        "segment3_account": F.coalesce(F.col("segment3_account"), F.lit(ENTRY_DEFAULT_ACCOUNT)),
-        "segment4_project": F.coalesce(F.col("segment4_project"), F.lit(ENTRY_DEFAULT_PROJECT)),
-        "segment5_intercompany": F.coalesce(F.col("segment5_intercompany"), F.lit(ENTRY_DEFAULT_INTERCOMPANY)),
-        "segment6_product": F.coalesce(F.col("segment6_product"), F.lit(ENTRY_DEFAULT_PRODUCT)),
-        "segment7_spare": F.coalesce(F.col("segment7_spare"), F.lit(DEFAULT_SPARE)),
-        "description": F.coalesce(F.col("description"),
+        "accounted_dr": F.coalesce(opt("accounted_dr", "decimal(20,4)"), entered_dr),
+        "accounted_cr": F.coalesce(opt("accounted_cr", "decimal(20,4)"), entered_cr),
+        "fx_rate": F.coalesce(opt("fx_rate", "decimal(18,8)"), F.lit(ENTRY_DEFAULT_FX_RATE).cast(RATE_TYPE)),
+        "segment1_entity": F.coalesce(opt("segment1_entity", "string"), geo),
+        "segment2_cost_center": F.coalesce(opt("segment2_cost_center", "string"), F.lit(ENTRY_DEFAULT_COST_CENTER)),
+        "segment3_account": F.coalesce(opt("segment3_account", "string"), F.lit(ENTRY_DEFAULT_ACCOUNT)),
+        "segment4_project": F.coalesce(opt("segment4_project", "string"), F.lit(ENTRY_DEFAULT_PROJECT)),
+        "segment5_intercompany": F.coalesce(opt("segment5_intercompany", "string"), F.lit(ENTRY_DEFAULT_INTERCOMPANY)),
+        "segment6_product": F.coalesce(opt("segment6_product", "string"), F.lit(ENTRY_DEFAULT_PRODUCT)),
+        "segment7_spare": F.coalesce(opt("segment7_spare", "string"), F.lit(DEFAULT_SPARE)),
+        "description": F.coalesce(opt("description", "string"),
                                   F.concat(source, F.lit(" FX adjustment — "), geo)),
         "batch_id": F.col("batch_id"),
         "load_timestamp": F.lit(run_ts).cast("timestamp"),

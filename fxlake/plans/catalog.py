@@ -24,7 +24,7 @@ from fxlake.operators.period import aggregate_for_period
 from fxlake.operators.canonical import canonicalize
 from fxlake.operators.dedup import keep_one_per_key
 from fxlake.operators.quality import quarantine_split as split_valid
-from fxlake.session import checkpoint_dir, configure, stage_table
+from fxlake.session import checkpoint_dir, configure, input_fingerprint, lake_table
 from fxlake.sources import files as FS
 from fxlake.streaming import ingest as ST
 from fxlake.sources.fixture import (
@@ -146,8 +146,11 @@ ENTRY_OUT = [
 
 
 def _entries(spark: SparkSession, sf_dir: str, period_type: str = "MONTHLY") -> DataFrame:
-    entries = generate(silver_lines(spark, sf_dir), period_type, geos=FIXTURE_GEOS)
-    return stage_table(entries, f"entries-{period_type.lower()}", partition_by=["batch_id"])
+    """Generated entries of every period (a lake table, built once per input version)."""
+    def build() -> DataFrame:
+        return generate(silver_lines(spark, sf_dir), period_type, geos=FIXTURE_GEOS)
+
+    return lake_table(spark, f"entries-{period_type.lower()}", input_fingerprint(spark, sf_dir), build)
 
 
 def je_entries(spark: SparkSession, sf_dir: str) -> DataFrame:

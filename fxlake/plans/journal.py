@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fxlake.operators.canonical import canonicalize
 from fxlake.operators.dedup import keep_one_per_key
 from fxlake.operators.quality import quarantine_split
-from fxlake.session import stage_table
+from fxlake.session import input_fingerprint, lake_table
 from fxlake.sources.fixture import FIXTURE_EXTRA, raw_journal_lines, source_system_of_ledger
 
 # Survivor order of de-duplication on the fixture: smallest payload hash, then first delivery.
@@ -28,10 +28,14 @@ def valid_and_quarantined(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
 def silver_lines(spark: SparkSession, sf_dir: str, staged: bool = True) -> DataFrame:
     """Valid lines, one per surrogate key (P6, W6): the Silver table.
 
-    ``staged`` writes Silver once (Parquet, partitioned by batch) into the
-    checkpoint folder, as the pipeline does, so later stages that read it several
-    times neither recompute the joins nor re-plan the whole lineage.
+    ``staged`` reads the Silver lake table, built once per input version in the
+    checkpoint folder (as the batch flow writes it), so later stages that read
+    it several times neither recompute the joins nor re-plan the whole lineage.
     """
-    valid, _ = valid_and_quarantined(spark, sf_dir)
-    silver = keep_one_per_key(valid, "surrogate_key", DEDUP_ORDER)
-    return stage_table(silver, "silver", partition_by=["batch_id"]) if staged else silver
+    def build() -> DataFrame:
+        valid, _ = valid_and_quarantined(spark, sf_dir)
+        return keep_one_per_key(valid, "surrogate_key", DEDUP_ORDER)
+
+    if not staged:
+        return build()
+    return lake_table(spark, "silver", input_fingerprint(spark, sf_dir), build)

@@ -88,3 +88,50 @@ def stage_table(df: DataFrame, label: str, partition_by: list[str] | None = None
     out = spark.read.parquet(path)
     # Restore the column order of the input (partition columns move last).
     return out.select(*df.columns)
+
+
+def _code_version() -> str:
+    """Hash of the library source: a code change invalidates every memoised table."""
+    import hashlib
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    h = hashlib.sha1()
+    for dirpath, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(dirpath, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
+    return h.hexdigest()
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def input_fingerprint(spark: SparkSession, *paths: str) -> str:
+    """Fingerprint of input folders/files (name, length, modification time) and of the code."""
+    import hashlib
+
+    h = hashlib.sha1(_code_version().encode())
+    for path in paths:
+        fs, p = _hadoop_path(spark, path)
+        for st in sorted(fs.listStatus(p), key=lambda s: s.getPath().toString()):
+            h.update(f"{st.getPath().getName()}|{st.getLen()}|{st.getModificationTime()};".encode())
+    return h.hexdigest()[:20]
+
+
+def lake_table(spark: SparkSession, name: str, fingerprint: str, build) -> DataFrame:
+    """A derived lake table (e.g. Silver) written once per input version and read thereafter.
+
+    Downstream jobs read the table instead of recomputing it from the raw joins,
+    as in a medallion lake. The table lives in the shared checkpoint folder; it
+    counts as present only when its ``_SUCCESS`` marker exists, so a run that
+    died half-way rebuilds it.
+    """
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{fingerprint}")
+    fs, marker = _hadoop_path(spark, os.path.join(path, "_SUCCESS"))
+    if not fs.exists(marker):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
