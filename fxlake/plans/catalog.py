@@ -21,7 +21,7 @@ from fxlake.operators import trial_balance as TB
 from fxlake.operators.dedup import new_against_registry
 from fxlake.operators.entries import generate
 from fxlake.operators.period import aggregate_for_period
-from fxlake.operators.canonical import canonicalize
+from fxlake.operators.canonical import DEFAULT_RUN_TS, canonicalize, complete_schema
 from fxlake.operators.dedup import keep_one_per_key
 from fxlake.operators.quality import quarantine_split as split_valid
 from fxlake.session import checkpoint_dir, configure, input_fingerprint, lake_table
@@ -74,6 +74,21 @@ def dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_lines(spark, sf_dir, staged=False).select(*LINE_COLUMNS)
 
 
+def gold_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold per batch (P7-P9): the 24-column table with lineage time, profiled per batch.
+
+    Each batch is selected with the partition filter Gold is written with; here
+    all batches are profiled in one aggregate.
+    """
+    gold = complete_schema(silver_lines(spark, sf_dir)).withColumn(
+        "gold_timestamp", F.lit(DEFAULT_RUN_TS).cast("timestamp"))
+    return gold.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.count_if(F.col("gold_timestamp").isNotNull()).alias("n_stamped"),
+        F.sum(F.coalesce("accounted_dr", F.lit(0))).cast("decimal(38,4)").alias("accounted_dr"),
+        F.sum(F.coalesce("accounted_cr", F.lit(0))).cast("decimal(38,4)").alias("accounted_cr"))
+
+
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = valid_and_quarantined(spark, sf_dir)
     return duplicate_key_counts(valid)
@@ -108,7 +123,9 @@ def mec_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _tb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trial_balance(raw_journal_lines(spark, sf_dir))
+    """The trial balance derived from the lines (a small lake table, built once per input)."""
+    return lake_table(spark, "trial-balance", input_fingerprint(spark, sf_dir),
+                      lambda: trial_balance(raw_journal_lines(spark, sf_dir)))
 
 
 def tb_unbalanced_geo_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,7 +246,8 @@ def idempotent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     The registry holds the keys of the earliest batch (a previous run) for stage
     ``silver``; incoming are all valid lines of every delivery.
     """
-    valid, _ = valid_and_quarantined(spark, sf_dir)
+    valid = lake_table(spark, "valid-lines", input_fingerprint(spark, sf_dir),
+                       lambda: valid_and_quarantined(spark, sf_dir)[0])
     first_batch = valid.agg(F.min("batch_id").alias("batch_id"))
     registry = (valid.join(first_batch, "batch_id", "left_semi")
                      .select("surrogate_key", F.lit("silver").alias("stage")))
@@ -341,6 +359,7 @@ _QUERIES = {
     "quarantine_split": quarantine_split,
     "dedup_lines": dedup_lines,
     "duplicate_keys": duplicate_keys,
+    "gold_batches": gold_batches,
     "raw_unbalanced_journals": raw_unbalanced_journals,
     "mec_unbalanced_journals": mec_unbalanced_journals,
     "mec_missing_values": mec_missing_values,

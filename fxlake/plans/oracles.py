@@ -499,3 +499,9 @@ SELECT CAST(0 AS BIGINT) AS epoch, count(DISTINCT surrogate_key) AS accepted,
 UNION ALL SELECT CAST(1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS BIGINT)
 UNION ALL SELECT CAST(2 AS BIGINT), CAST(0 AS BIGINT), count(*), CAST(0 AS BIGINT) FROM ev"""),
 })
+
+ORACLES["gold_batches"] = with_ctes(*SILVER, body="""
+SELECT batch_id, count(*) AS n_lines, count(*) AS n_stamped,
+  CAST(sum(coalesce(accounted_dr, 0)) AS DECIMAL(38,4)) AS accounted_dr,
+  CAST(sum(coalesce(accounted_cr, 0)) AS DECIMAL(38,4)) AS accounted_cr
+FROM dedup GROUP BY batch_id""")

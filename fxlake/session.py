@@ -7,6 +7,7 @@ only created when none is configured (tests, single-machine runs).
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -90,8 +91,9 @@ def stage_table(df: DataFrame, label: str, partition_by: list[str] | None = None
     return out.select(*df.columns)
 
 
+@functools.lru_cache(maxsize=1)
 def _code_version() -> str:
-    """Hash of the library source: a code change invalidates every memoised table."""
+    """Hash of the library source (once per process): a code change invalidates memoised tables."""
     import hashlib
 
     root = os.path.dirname(os.path.abspath(__file__))

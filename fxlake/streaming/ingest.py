@@ -12,7 +12,8 @@ handled in ``foreachBatch``:
    (J3): the registry is partitioned by epoch, so a replayed micro-batch
    (same epoch id after a failure) overwrites its own output and gives the same
    answer — exactly-once without a transactional sink;
-4. write Bronze rows, then registry rows, then the epoch's counters (A9).
+4. write Bronze rows, then registry rows, then Silver / quarantine rows of
+   the accepted events (T6), then the epoch's counters (A9).
 
 The registry is unbounded, as in the reference. ``dedup_within_watermark`` is
 the bounded-state alternative when late duplicates older than a delay can be
@@ -117,6 +118,12 @@ def process_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, root: st
                    F.lit(bronze_path).alias("object_key"), "payload_hash",
                    F.lit(run_ts).cast("timestamp").alias("processed_at"))
            .write.mode("overwrite").parquet(os.path.join(registry_path, f"stage={STAGE}", epoch_dir)))
+    # The accepted events continue to Silver in the same micro-batch (P6 split).
+    from fxlake.operators.quality import quarantine_split
+
+    valid, bad = quarantine_split(landed)
+    valid.write.mode("overwrite").parquet(os.path.join(root, "silver", epoch_dir))
+    bad.write.mode("overwrite").parquet(os.path.join(root, "quarantine", epoch_dir))
     accepted = landed.count()
     counts = (parsed.agg(F.count_if(~F.col("is_corrupt")).alias("n_parsed"),
                          F.count_if("is_corrupt").alias("corrupt"))
