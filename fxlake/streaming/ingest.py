@@ -15,8 +15,9 @@ handled in ``foreachBatch``:
 4. write Bronze rows, then registry rows, then Silver / quarantine rows of
    the accepted events (T6), then the epoch's counters (A9).
 
-The registry is unbounded, as in the reference. ``dedup_within_watermark`` is
-the bounded-state alternative when late duplicates older than a delay can be
+The registry is unbounded, as in the reference, but partitioned by a key-prefix
+bucket: a micro-batch reads only the buckets of its own keys. ``dedup_within_watermark``
+is the bounded-state alternative when late duplicates older than a delay can be
 ignored.
 """
 
@@ -32,6 +33,7 @@ from pyspark.sql import types as T
 from fxlake.functions.keys import payload_hash, surrogate_key
 from fxlake.functions.scalar import date_prefix, period_name
 from fxlake.operators.dedup import keep_one_per_key
+from fxlake.operators.util import bounded_broadcast
 from fxlake.schema import AMOUNT_TYPE, CANONICAL_COLUMNS, DEFAULT_SPARE, RATE_TYPE, STREAM_SOURCE_SYSTEM
 
 SEGMENT_FIELDS = T.StructType([T.StructField(n, T.StringType()) for n in
@@ -46,6 +48,12 @@ EVENT_SCHEMA = T.StructType(
 
 BRONZE_COLUMNS = [c for c in CANONICAL_COLUMNS if c != "load_timestamp"]
 STAGE = "bronze"
+BUCKET_HEX_DIGITS = 2   # 256 registry buckets by key prefix
+
+
+def key_bucket():
+    """Registry partition of a key: ``k`` + its first hex digits (text, never inferred as a number)."""
+    return F.concat(F.lit("k"), F.substring(F.col("surrogate_key"), 1, BUCKET_HEX_DIGITS))
 
 
 def parse_events(raw: DataFrame) -> DataFrame:
@@ -102,22 +110,32 @@ def process_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, root: st
         os.path.join(root, "corrupt", epoch_dir))
     rows = normalise(parsed.filter(~F.col("is_corrupt")), run_ts)
     registry_path = os.path.join(root, "registry")
-    fresh = keep_one_per_key(rows, "surrogate_key")
+    fresh = keep_one_per_key(rows, "surrogate_key").withColumn("bucket", key_bucket())
     try:
-        earlier = (spark.read.parquet(registry_path)
-                        .filter((F.col("stage") == STAGE) & (F.col("epoch") < epoch_id))
-                        .select("surrogate_key"))
-        fresh = fresh.join(earlier, "surrogate_key", "left_anti")
+        registry = spark.read.parquet(registry_path)
     except Exception as exc:  # noqa: BLE001 - no registry yet (first epoch)
         if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
             raise
+        registry = None
+    if registry is not None:
+        # Only the registry buckets of this micro-batch's keys are read: the
+        # semi-join with the (size-checked, broadcast) keys prunes the bucket
+        # partitions dynamically, so the cost does not grow with the history.
+        keys = bounded_broadcast(fresh.select("bucket", "surrogate_key"))
+        seen = (registry.filter((F.col("stage") == STAGE) & (F.col("epoch") < epoch_id))
+                        .join(keys, ["bucket", "surrogate_key"], "left_semi")
+                        .select("surrogate_key"))
+        fresh = fresh.join(seen, "surrogate_key", "left_anti")
+    fresh = fresh.drop("bucket")
     bronze_path = os.path.join(root, "bronze", epoch_dir)
     fresh.write.mode("overwrite").parquet(bronze_path)
     landed = spark.read.parquet(bronze_path)
     (landed.select("surrogate_key", F.lit(STREAM_SOURCE_SYSTEM).alias("source_system"),
                    F.lit(bronze_path).alias("object_key"), "payload_hash",
-                   F.lit(run_ts).cast("timestamp").alias("processed_at"))
-           .write.mode("overwrite").parquet(os.path.join(registry_path, f"stage={STAGE}", epoch_dir)))
+                   F.lit(run_ts).cast("timestamp").alias("processed_at"), key_bucket().alias("bucket"))
+           .repartition("bucket")   # one file per bucket and epoch, not one per task
+           .write.mode("overwrite").partitionBy("bucket")
+           .parquet(os.path.join(registry_path, f"stage={STAGE}", epoch_dir)))
     # The accepted events continue to Silver in the same micro-batch (P6 split).
     from fxlake.operators.quality import quarantine_split
 
