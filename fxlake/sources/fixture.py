@@ -127,12 +127,6 @@ def source_system_of_ledger():
     return F.concat(F.col("ledger_source"), F.lit("_FX"))
 
 
-def expected_geos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every region plus one geo that has no lines (completeness / fallback cases)."""
-    regions = table(spark, sf_dir, "region").select(F.col("r_name").alias("geo"))
-    return regions.unionByName(spark.range(1).select(F.lit(NO_GEO_REGION).alias("geo")))
-
-
 def account_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segment reference values as (segment, value): every part type except MEDIUM accounts."""
     types = table(spark, sf_dir, "part").select(F.col("p_type").alias("value")).distinct()

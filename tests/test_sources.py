@@ -67,3 +67,16 @@ def test_entry_upsert_replaces_by_key(spark, tmp_dir):
     FS.upsert_entries(spark, path, spark.createDataFrame([("k1", "B", "US", 2), ("k1", "B", "UK", 3)], schema))
     got = sorted(tuple(r) for r in spark.read.parquet(path).select("surrogate_key", "geo", "v", "batch_id").collect())
     assert got == [("k1", "UK", 3, "B"), ("k1", "US", 2, "B"), ("k2", "US", 1, "B")]
+
+
+def test_gold_batch_prunes_partitions(spark, tmp_dir):
+    from fxlake.operators.canonical import gold_batch
+
+    out = os.path.join(tmp_dir, "silver")
+    FS.write_silver(spark.createDataFrame([("k1", "b1"), ("k2", "b2")], "surrogate_key string, batch_id string"), out)
+    gold = gold_batch(FS.read_silver(spark, out), "b2")
+    plan = gold._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(batch_id" in plan and "= b2)" in plan
+    rows = gold.collect()
+    assert [r.surrogate_key for r in rows] == ["k2"] and rows[0].gold_timestamp is not None
+    assert gold.columns[:24] == FS.CANONICAL_SCHEMA.fieldNames()
