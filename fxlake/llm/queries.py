@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fxlake.llm import decontaminate, jaccard, lines
+from fxlake.llm import decontaminate, jaccard, licences, lines, lm, pieces, pii, quality, secrets, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(_read(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
@@ -18,17 +24,50 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         decontaminate.contaminated().alias("contaminated"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_read(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_read(spark, sf_dir, "pages")).drop("by")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.judge(documents, quality.fit(documents, _read(spark, sf_dir, "labels")))
+    return judged.select("row.doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.join(_read(spark, sf_dir, "documents"), words=4, percent=85)
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", "component_id")
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every text, their digest, and whether decoding gives the text back."""
+    texts = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    both = pieces.decode(pieces.encode(texts))
+    return both.select("row.doc_id", F.size("ids").cast("long").alias("n_pieces"), pieces.digest("ids").alias("ids_hash"),
+                       F.col("decoded").eqNullSafe(F.col("row.text")).alias("lossless"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
     kept = lines.apply_bitmaps(documents, lines.keep_bitmaps(documents))
     return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(_read(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "whole_text", "n_lines", "licences")
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents")
+    found = secrets.scan(documents, model=secrets.train(documents))
+    return found.select(F.col("doc").alias("doc_id"), "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP2_SQL = rf"""
@@ -75,6 +114,72 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM m GROUP BY doc_id
 """
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op6_jaccard_join, op8_line_dedup)}
+def _canonical_sql(x: str) -> str:
+    out = f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    out = rf"regexp_replace({out}, '(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*', '\1', 'g')"
+    out = rf"regexp_replace({out}, '[^a-z0-9\x{{80}}-\x{{10ffff}}]+', ' ', 'g')"
+    out = f"' ' || trim({out}) || ' '"
+    for old, new in licences.SPELLINGS:
+        if old != new:
+            out = f"replace({out}, ' {old} ', ' {new} ')"
+    return f"sha256({out})"
+
+
+def _licence_sql() -> str:
+    rows = ", ".join("('%s', '%s')" % (name, text.replace("'", "''")) for name, texts in licences.KNOWN.items() for text in texts)
+    return f"""
+WITH known AS (SELECT DISTINCT {_canonical_sql('t')} AS digest, licence FROM (VALUES {rows}) v(licence, t)),
+whole AS (SELECT doc_id, licence FROM documents JOIN known ON {_canonical_sql("coalesce(text, '')")} = digest),
+line AS (SELECT doc_id, licence FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x FROM documents)
+         JOIN known ON {_canonical_sql('x')} = digest),
+n AS (SELECT doc_id, count(*) AS n_lines FROM line GROUP BY doc_id),
+l AS (SELECT doc_id, string_agg(licence, ',' ORDER BY licence) AS licences
+      FROM (SELECT DISTINCT doc_id, licence FROM (SELECT * FROM line UNION ALL SELECT * FROM whole)) GROUP BY doc_id)
+SELECT d.doc_id, whole.licence AS whole_text, CAST(coalesce(n.n_lines, 0) AS BIGINT) AS n_lines, coalesce(l.licences, '') AS licences
+FROM documents d LEFT JOIN whole USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN l USING (doc_id)
+"""
+
+
+def _rule_sql(host: str, path: str, want: int) -> str:
+    """The rule (want 1) or its verdict (want 0), longest first."""
+    cases = []
+    for verdict, rule in sorted(urls.RULES, key=lambda r: (-len(r[1]), r[0] == "block")):
+        name, _, rest = rule.partition("/")
+        cases.append(f"WHEN ({host} = '{name}' OR ends_with({host}, '.{name}')) AND starts_with({path}, '/{rest}') "
+                     f"THEN '{(verdict, rule)[want]}'")
+    return f"CASE {' '.join(cases)} END"
+
+
+def _url_sql() -> str:
+    parts = r"""regexp_extract(rest, '^[^/?#]*') AS h, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path"""
+    low = "translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host"
+    rest = "CASE WHEN contains(u, '://') THEN substr(u, strpos(u, '://') + 3) ELSE '' END AS rest"
+    key = "host || regexp_replace(path, '/+$', '')"
+    canonical = r"""regexp_extract(html, '(?is)<link\b[^>]*?\brel\s*=\s*["'']?canonical\b[^>]*>')"""
+    refresh = r"""regexp_extract(html, '(?is)<meta\b[^>]*?\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')"""
+    href = r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))"""
+    target = r"""(?is)\burl\s*=\s*["'']?([^"''>\s;]+)"""
+    link = " || ".join(f"regexp_extract({canonical}, '{href}', {k})" for k in (1, 2, 3))
+    return f"""
+WITH RECURSIVE p AS (SELECT page_id, html, host, path, CASE WHEN host <> '' THEN {key} END AS node, {_rule_sql('host', 'path', 1)} AS rule,
+                            {_rule_sql('host', 'path', 0)} AS own
+      FROM (SELECT *, {low} FROM (SELECT *, {parts} FROM (SELECT page_id, html, {rest} FROM (SELECT page_id, html, coalesce(url, '') AS u FROM pages))))),
+raw AS (SELECT host, node, unnest([trim({link}), regexp_extract({refresh}, '{target}', 1)]) AS x FROM p WHERE html IS NOT NULL AND node IS NOT NULL),
+far AS (SELECT node AS a, CASE WHEN contains(x, '://') THEN x WHEN starts_with(x, '//') THEN 'http:' || x
+                               WHEN starts_with(x, '/') THEN 'http://' || host || x ELSE '' END AS u FROM raw WHERE x <> ''),
+e AS (SELECT a, {key} AS b, {_rule_sql('host', 'path', 0)} AS v
+      FROM (SELECT *, {low} FROM (SELECT *, {parts} FROM (SELECT a, {rest} FROM far))) WHERE host <> ''),
+both_ways AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
+blocked AS (SELECT node FROM p WHERE own = 'block' UNION SELECT b FROM e WHERE v = 'block' AND a <> b),
+reach(node) AS (SELECT node FROM blocked UNION SELECT b FROM reach JOIN both_ways ON reach.node = both_ways.a)
+SELECT page_id, host, path, rule, coalesce(own, CASE WHEN node IN (SELECT node FROM reach WHERE node IN (SELECT a FROM both_ways))
+       THEN 'block' ELSE 'allow' END) AS verdict FROM p
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_pii_spans, op2_decontaminate, op3_lm_score, op4_url_filter, op5_quality_rules, op6_jaccard_join,
+                                   op7_sentencepiece, op8_line_dedup, op9_licence_scan, op10_secret_scan)}
 
-ORACLES = {"op2_decontaminate": OP2_SQL, "op6_jaccard_join": OP6_SQL, "op8_line_dedup": OP8_SQL}
+#: None for operators with a trained model (1, 3, 5, 10) or a tokenizer (7): tests hold those against brute force.
+ORACLES = {"op2_decontaminate": OP2_SQL, "op4_url_filter": _url_sql(), "op6_jaccard_join": OP6_SQL, "op8_line_dedup": OP8_SQL,
+           "op9_licence_scan": _licence_sql()}
