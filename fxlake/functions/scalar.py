@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fxlake.schema import AMOUNT_TYPE
+from fxlake.schema import AMOUNT_TYPE, WIDE_AMOUNT_TYPE
 
 
 def _c(c: str | Column) -> Column:
@@ -22,14 +22,21 @@ def date_prefix(text_col: str | Column) -> Column:
     return F.try_to_date(F.substring(_c(text_col).cast("string"), 1, 10), "yyyy-MM-dd")
 
 
-def try_decimal(c: str | Column, dtype=AMOUNT_TYPE) -> Column:
-    """Cast to decimal; unparseable text gives null instead of an error."""
-    return _c(c).try_cast(dtype)
+def safe_amount(c: str | Column) -> Column:
+    """An amount to sum: null, blank, ``'null'`` and unparseable text count as zero.
+
+    The type holds 28 digits before the point and 10 after it, so no amount of
+    the contract or of a raw file is rounded or lost in a check.
+    """
+    return F.coalesce(_c(c).try_cast(WIDE_AMOUNT_TYPE), F.lit(0).cast(WIDE_AMOUNT_TYPE))
 
 
-def safe_amount(c: str | Column, dtype=AMOUNT_TYPE) -> Column:
-    """Null, blank, ``'null'`` or unparseable amounts count as zero."""
-    return F.coalesce(_c(c).try_cast(dtype), F.lit(0).cast(dtype))
+def is_lost_amount(c: str | Column) -> Column:
+    """True for text that is there but that the contract's type cannot hold as it stands: no number, too large, or too fine."""
+    text = F.trim(_c(c).cast("string"))
+    kept, exact = text.try_cast(AMOUNT_TYPE), text.try_cast(WIDE_AMOUNT_TYPE)
+    given = text.isNotNull() & ~F.lower(text).isin("", "null")
+    return given & (kept.isNull() | exact.isNull() | (kept != exact))
 
 
 def is_blank(c: str | Column) -> Column:
@@ -49,11 +56,6 @@ def decode_object_key(c: str | Column) -> Column:
     return F.url_decode(_c(c))
 
 
-def decode_base64_text(c: str | Column) -> Column:
-    """base64 text to a UTF-8 string."""
-    return F.decode(F.unbase64(_c(c)), "UTF-8")
-
-
 def stable_id(prefix: str, *parts: str | Column, length: int = 8) -> Column:
     """Deterministic identifier ``<prefix><md5 prefix of parts>`` so reruns are idempotent."""
     digest = F.md5(F.concat_ws("|", *[_c(p).cast("string") for p in parts]))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fxlake.functions.keys import payload_hash, surrogate_key
-from fxlake.functions.scalar import date_prefix, period_name
+from fxlake.functions.scalar import date_prefix, is_lost_amount, period_name
 from fxlake.schema import (
     AMOUNT_COLUMNS,
     AMOUNT_TYPE,
@@ -29,6 +29,9 @@ COLUMN_ALIASES = {
     "effective_date": ["effective_date", "acct_date"],
 }
 
+# Amount columns whose text is lost in the contract's type (optional column of ``canonicalize``).
+AMOUNT_ERRORS = "amount_errors"
+
 DEFAULT_RUN_TS = dt.datetime(2024, 1, 1)
 
 
@@ -54,12 +57,14 @@ def with_keys(df: DataFrame) -> DataFrame:
 
 def canonicalize(raw: DataFrame, source_system: str | Column = BATCH_SOURCE_SYSTEM,
                  batch_id: str | Column | None = None, run_ts: dt.datetime = DEFAULT_RUN_TS,
-                 keep: list[str] | None = None) -> DataFrame:
+                 keep: list[str] | None = None, amount_errors: bool = False) -> DataFrame:
     """Map a raw batch source (all text or typed) to the canonical 24 columns.
 
     * required identifiers must exist as columns;
     * aliases: ``line_num`` for ``journal_line_num``, ``acct_date`` for ``effective_date``;
-    * every cast is a ``try_cast``: unparseable values become null and are quarantined;
+    * every cast is a ``try_cast``: unparseable mandatory values become null and are quarantined.
+      Amounts may be null, so with ``amount_errors`` a column of that name lists those whose
+      text was given but does not parse or fit, and ``quarantine_split`` takes them out too;
     * ``segment7_spare`` defaults to ``000`` and ``description`` to ``''``;
     * ``batch_id`` is a parameter (literal or column), ``load_timestamp`` the run time.
     """
@@ -94,11 +99,16 @@ def canonicalize(raw: DataFrame, source_system: str | Column = BATCH_SOURCE_SYST
     cols["batch_id"] = batch_col
     cols["load_timestamp"] = F.lit(run_ts).cast("timestamp")
 
-    extra = [F.col(k) for k in (keep or [])]
+    keep = list(keep or [])
+    extra = [F.col(k) for k in keep]
+    if amount_errors:
+        bad = [F.when(is_lost_amount(c), F.lit(c)) for c in AMOUNT_COLUMNS if c in raw.columns]
+        extra.append(F.concat_ws(",", *bad).alias(AMOUNT_ERRORS))
+        keep.append(AMOUNT_ERRORS)
     projected = raw.select(*[v.alias(k) for k, v in cols.items()], *extra)
     projected = projected.withColumn("period_name", period_name("effective_date"))
     keyed = with_keys(projected)
-    return keyed.select(*CANONICAL_COLUMNS, *(keep or []))
+    return keyed.select(*CANONICAL_COLUMNS, *keep)
 
 
 def complete_schema(df: DataFrame, extra: list[str] | None = None) -> DataFrame:

@@ -1,6 +1,6 @@
 """Keyed de-duplication (W6), duplicate reports (W3, A11) and idempotency.
 
-De-duplication is a grouped ``min_by`` rather than a ``row_number`` window: the
+De-duplication is a grouped ``min`` of the row rather than a ``row_number`` window: the
 aggregate runs a partial (map-side) step, so a key that holds a third of all rows
 is reduced to one row per input partition before the shuffle and never lands in
 one task as a whole.
@@ -27,7 +27,8 @@ def keep_one_per_key(df: DataFrame, key: str | list[str] = "surrogate_key",
     rest = [c for c in df.columns if c not in keys]
     order = order_by or (["payload_hash"] if "payload_hash" in rest else [])
     tiebreak = [c for c in rest if c not in order]
-    survivor = F.min_by(F.struct(*[F.col(c) for c in rest]), _order_struct(order + tiebreak))
+    # The smallest struct is the row itself: one copy of it goes through the shuffle.
+    survivor = F.min(_order_struct(order + tiebreak))
     return (df.groupBy(*keys)
               .agg(survivor.alias("_row"))
               .select(*keys, "_row.*")

@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from fxlake.functions.keys import payload_hash, surrogate_key
 from fxlake.functions.scalar import period_name
 from fxlake.operators.numbering import number_within
-from fxlake.operators.util import bounded_broadcast
 from fxlake.session import stage_table
 from fxlake.schema import (
     AMOUNT_TYPE,
@@ -97,7 +96,7 @@ def fan_out(lines: DataFrame, geos: list[str], sources: list[str]) -> DataFrame:
     # Written once (at most batches x sources x geos rows), so the size check and
     # the broadcast read the small table instead of re-aggregating every line.
     missing = stage_table(missing, "fanout-pairs")
-    fallback = (src.join(bounded_broadcast(missing), ["batch_id", "ledger_source"])
+    fallback = (src.join(missing, ["batch_id", "ledger_source"])
                    .withColumn("is_fallback", F.lit(True)))
     return matched.unionByName(fallback)
 

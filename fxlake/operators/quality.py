@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fxlake.operators.canonical import AMOUNT_ERRORS
 from fxlake.schema import NON_NULLABLE_COLUMNS
 
 
@@ -26,19 +27,16 @@ def all_present(columns: list[str] | None = None) -> Column:
     return cond
 
 
-def classify(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Tag every row with ``quarantine_reason`` and ``is_valid`` in one pass.
+def quarantine_split(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, quarantined rows with a comma-separated ``quarantine_reason``).
 
-    Valid and quarantined rows are exact complements: ``is_valid`` is true iff
-    no mandatory column is null. Writing the classified frame once (partitioned
-    by ``is_valid``) avoids scanning the source twice.
+    A column ``amount_errors`` (see ``canonicalize``) counts too: its names end
+    up in the reasons and the column itself leaves both results.
     """
-    return (df.withColumn("is_valid", all_present(columns))
-              .withColumn("quarantine_reason", null_reasons(columns)))
-
-
-def quarantine_split(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, quarantined rows with a comma-separated ``quarantine_reason``)."""
-    valid = df.filter(all_present(columns))
-    invalid = df.filter(~all_present(columns)).withColumn("quarantine_reason", null_reasons(columns))
+    reason, good = null_reasons(columns), all_present(columns)
+    if AMOUNT_ERRORS in df.columns:
+        reason = F.concat_ws(",", F.nullif(reason, F.lit("")), F.nullif(F.col(AMOUNT_ERRORS), F.lit("")))
+        good = good & (F.col(AMOUNT_ERRORS) == "")
+    valid = df.filter(good).drop(AMOUNT_ERRORS)
+    invalid = df.filter(~good).withColumn("quarantine_reason", reason).drop(AMOUNT_ERRORS)
     return valid, invalid

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fxlake.functions.keys import business_payload_hash
+from fxlake.functions.scalar import safe_amount
 from fxlake.operators import validate as V
 from fxlake.operators.dedup import duplicate_key_counts
 from fxlake.plans.journal import canonical_lines as _canonical
@@ -18,13 +19,14 @@ from fxlake.plans.journal import silver_lines, valid_and_quarantined
 from fxlake.operators import approval as AP
 from fxlake.operators import booking as BK
 from fxlake.operators import trial_balance as TB
-from fxlake.operators.dedup import new_against_registry
+from fxlake.operators.dedup import later_occurrences, new_against_registry
 from fxlake.operators.entries import generate
 from fxlake.operators.period import aggregate_for_period
-from fxlake.operators.canonical import DEFAULT_RUN_TS, canonicalize, complete_schema
+from fxlake.operators.canonical import DEFAULT_RUN_TS, canonicalize, complete_schema, gold_batch
 from fxlake.operators.dedup import keep_one_per_key
 from fxlake.operators.quality import quarantine_split as split_valid
 from fxlake.session import checkpoint_dir, configure, input_fingerprint, lake_table
+from fxlake.plans import flows as FL
 from fxlake.sources import files as FS
 from fxlake.streaming import ingest as ST
 from fxlake.sources.fixture import (
@@ -305,7 +307,8 @@ def roundtrip_json_wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrapped = raw.select("batch_id", F.to_json(F.struct(F.array(F.struct(
         *[c for c in raw.columns if c != "batch_id"])).alias("journal_lines"))).alias("value"))
     wrapped.write.partitionBy("batch_id").text(os.path.join(root, "landing"))
-    src = FS.read_json_batch(spark, os.path.join(root, "landing"), multi_line=False)
+    src = FS.read_json_batch(spark, os.path.join(root, "landing"), multi_line=False,
+                             extra_fields=[c for c in raw.columns if c != "batch_id"]).drop("batch_id")
     canon = canonicalize(src.withColumn("batch_id", F.regexp_extract("_source_path", "batch_id=([^/]+)", 1)),
                          source_system=F.concat(F.col("ledger_source"), F.lit("_FX")), batch_id=None,
                          keep=["delivery"])
@@ -346,6 +349,133 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.read_counters(spark, _stream_runs(spark, sf_dir)).select("epoch", "accepted", "skipped", "corrupt")
 
 
+def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the three runs hand on to Silver and to quarantine, with the reasons."""
+    root = _stream_runs(spark, sf_dir)
+    silver = ST.read_silver(spark, root).select(F.lit("silver").alias("sink"), F.lit("").alias("quarantine_reason"))
+    bad = spark.read.parquet(f"{root}/quarantine").select(F.lit("quarantine").alias("sink"), "quarantine_reason")
+    return silver.unionByName(bad).groupBy("sink", "quarantine_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def tb_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per finding of the trial-balance gate."""
+    return TB.issues(silver_lines(spark, sf_dir), _tb(spark, sf_dir), FIXTURE_GEOS)
+
+
+def approval_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per finding of the approval checks."""
+    return AP.issue_rows(_entries(spark, sf_dir))
+
+
+def mec_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over Silver without two contract columns (P10): findings per batch and kind."""
+    found = V.issues(silver_lines(spark, sf_dir).drop("accounted_cr", "segment3_account"), account_reference(spark, sf_dir))
+    return found.groupBy("batch_id", "issue_type", "column").agg(F.count(F.lit(1)).alias("n_issues"))
+
+
+def _typed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw fixture lines as an upstream file has them: text, no tags."""
+    return raw_journal_lines(spark, sf_dir).drop("ledger_source", "geo", "geo_tag", "delivery")
+
+
+MIXED_SHAPES = ["bare", "journal_lines", "records", "lines", "csv_a", "csv_b"]
+
+
+def _mixed_files(spark: SparkSession, sf_dir: str) -> str:
+    """Fixture lines dealt over six files of different shapes in one folder."""
+    root = _scratch(spark, "mixed")
+    lines = _typed_lines(spark, sf_dir).drop("batch_id").withColumn("shape", F.pmod(F.substring("journal_id", 3, 30).cast("long"), F.lit(6)))
+    cols = [c for c in lines.columns if c != "shape"]
+    one = F.to_json(F.struct(*cols))
+    wrapped = lambda name: F.concat(F.lit('{"%s":[' % name), one, F.lit("]}"))
+    for k, value in enumerate([F.concat(F.lit("["), one, F.lit("]")), wrapped("journal_lines"), wrapped("records"), one]):
+        lines.where(F.col("shape") == k).select(value.alias("value")).write.text(f"{root}/{MIXED_SHAPES[k]}")
+    for k, order in ((4, cols), (5, cols[::-1])):
+        lines.where(F.col("shape") == k).select(*order).write.option("header", True).option("nullValue", NULL_MARKER).csv(
+            f"{root}/{MIXED_SHAPES[k]}")
+    return root
+
+
+def ingest_mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bare, wrapped and line-by-line JSON, and CSV in two column orders, each kind read in one call."""
+    root = _mixed_files(spark, sf_dir)
+    json_lines = FS.read_json_batch(spark, [f"{root}/{s}" for s in MIXED_SHAPES[:4]])
+    csv_lines = FS.read_csv_batch(spark, [f"{root}/{s}" for s in MIXED_SHAPES[4:]], null_value=NULL_MARKER)
+    both = json_lines.unionByName(csv_lines, allowMissingColumns=True)
+    both = both.withColumn("batch_id", F.element_at(F.split("_source_path", "/"), -2))
+    return canonicalize(both, batch_id=None).drop("load_timestamp")
+
+
+def batch_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of the batch flow (W6): one row per key and batch, by the flow's own function."""
+    silver, _ = FL.batch_silver(_typed_lines(spark, sf_dir), DEFAULT_RUN_TS)
+    return silver.drop("load_timestamp")
+
+
+def amount_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw amounts made too large, too fine or no number on some lines: what is quarantined, and exact sums."""
+    n = F.substring("journal_id", 3, 30).cast("long")
+    edge = (F.when(F.pmod(n, F.lit(11)) == 0, F.concat(F.lit("1234567890123456"), F.col("accounted_dr")))
+             .when(F.pmod(n, F.lit(11)) == 1, F.concat(F.col("accounted_dr"), F.lit("7")))
+             .when(F.pmod(n, F.lit(11)) == 2, F.concat(F.lit("x"), F.col("accounted_dr")))
+             .when(F.pmod(n, F.lit(11)) == 3, F.lit(" ")).otherwise(F.col("accounted_dr")))
+    raw = _typed_lines(spark, sf_dir).withColumn("accounted_dr", edge)
+    _, bad = split_valid(canonicalize(raw, batch_id=None, amount_errors=True))
+    lost = bad.where(F.col("quarantine_reason").contains("accounted_dr")).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_lost"))
+    sums = raw.groupBy("batch_id").agg(F.sum(safe_amount("accounted_dr")).cast("decimal(38,6)").alias("accounted_dr"),
+                                       F.count(F.lit(1)).alias("n_lines"))
+    return sums.join(lost, "batch_id", "left").fillna(0, ["n_lost"])
+
+
+def rerun_corrected_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every batch, then again with one batch whose lines are all invalid: rows per batch in each sink."""
+    root = _scratch(spark, "rerun")
+    raw = _typed_lines(spark, sf_dir)
+    worst = raw.agg(F.min("batch_id")).first()[0]
+    for change in (False, True):
+        now = raw.withColumn("ledger_id", F.when(F.col("batch_id") == worst, F.lit(None)).otherwise(F.col("ledger_id"))) if change else raw
+        silver, bad = FL.batch_silver(now, DEFAULT_RUN_TS)
+        batches = raw.select("batch_id").distinct()
+        FS.write_silver(silver, f"{root}/silver", batches)
+        FS.write_quarantine(bad, f"{root}/quarantine", batches)
+    counts = [df.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).select("batch_id", F.lit(sink).alias("sink"), "n") for sink, df in
+              (("silver", FS.read_silver(spark, f"{root}/silver")), ("quarantine", spark.read.schema("batch_id string").json(f"{root}/quarantine")))]
+    return counts[0].unionByName(counts[1])
+
+
+def gold_one_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written and read by the library, then Gold of one batch, pruned to its folder."""
+    root = _scratch(spark, "gold")
+    FS.write_silver(silver_lines(spark, sf_dir).drop("ledger_source", "geo", "geo_tag", "delivery"), root)
+    gold = gold_batch(FS.read_silver(spark, root), "b1995")
+    return gold.drop("load_timestamp", "gold_timestamp")
+
+
+def roundtrip_trial_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trial balance written as JSON documents, one a geo, and read by the library."""
+    root = _scratch(spark, "tb")
+    accounts = F.to_json(F.map_from_entries(F.collect_list(F.struct("account", F.struct(
+        F.col("opening").cast("string").alias("opening"), F.col("activity").cast("string").alias("activity"))))))
+    docs = _tb(spark, sf_dir).groupBy("geo").agg(accounts.alias("a"))
+    docs.select(F.concat(F.lit('{"'), "geo", F.lit('":'), "a", F.lit("}")).alias("value")).repartition(64, "value").write.option(
+        "maxRecordsPerFile", 1).text(root)
+    return TB.read_trial_balance(spark, root)
+
+
+def entries_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of the one quarter that ends in March 1995 (P15): lines and totals per source and geo."""
+    e = generate(silver_lines(spark, sf_dir), "QUARTERLY", geos=FIXTURE_GEOS, effective_date="1995-03-31")
+    return e.groupBy("batch_id", "ledger_source", "geo", "is_fallback").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("accounted_dr").cast("decimal(38,4)").alias("accounted_dr"))
+
+
+def duplicate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second and later rows of each key, per batch and delivery."""
+    valid = lake_table(spark, "valid-lines", input_fingerprint(spark, sf_dir), lambda: valid_and_quarantined(spark, sf_dir)[0])
+    again = later_occurrences(valid.select("batch_id", "surrogate_key", "payload_hash", "delivery"), "surrogate_key", ["payload_hash", "delivery"])
+    return again.groupBy("batch_id", "delivery").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def _configured(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
@@ -389,6 +519,18 @@ _QUERIES = {
     "roundtrip_json_wrapped": roundtrip_json_wrapped,
     "stream_bronze": stream_bronze,
     "stream_replay": stream_replay,
+    "stream_silver": stream_silver,
+    "tb_issues": tb_issues,
+    "approval_issues": approval_issues,
+    "mec_missing_columns": mec_missing_columns,
+    "ingest_mixed_shapes": ingest_mixed_shapes,
+    "batch_silver": batch_silver,
+    "amount_edges": amount_edges,
+    "rerun_corrected_batch": rerun_corrected_batch,
+    "gold_one_batch": gold_one_batch,
+    "roundtrip_trial_balance": roundtrip_trial_balance,
+    "entries_window": entries_window,
+    "duplicate_lines": duplicate_lines,
 }
 
 QUERIES = {k: _configured(v) for k, v in _QUERIES.items()}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from fxlake.plans.oracle_sql import CANON, DEDUP, RAW, VALID, with_ctes
-from fxlake.schema import NON_NULLABLE_COLUMNS, SEGMENT_COLUMNS
+from fxlake.schema import CANONICAL_COLUMNS, NON_NULLABLE_COLUMNS, SEGMENT_COLUMNS
 
 LINE_COLUMNS_SQL = """surrogate_key, source_system, journal_id, journal_line_num, ledger_id,
   effective_date, period_name, currency_code, entered_dr, entered_cr, accounted_dr, accounted_cr,
@@ -505,3 +505,90 @@ SELECT batch_id, count(*) AS n_lines, count(*) AS n_stamped,
   CAST(sum(coalesce(accounted_dr, 0)) AS DECIMAL(38,4)) AS accounted_dr,
   CAST(sum(coalesce(accounted_cr, 0)) AS DECIMAL(38,4)) AS accounted_cr
 FROM dedup GROUP BY batch_id""")
+
+
+# ---------------------------------------------------------------------------
+# File ingestion, amounts, reruns, issue rows
+# ---------------------------------------------------------------------------
+
+_AR_CANON = CANON.replace("ledger_source || '_FX' AS source_system", "'AR_FX' AS source_system")
+_COLUMNS = ", ".join(c for c in CANONICAL_COLUMNS if c != "load_timestamp")
+_ORDER_KEY = "CAST(substr(journal_id, 3) AS BIGINT)"
+_SHAPES = _AR_CANON.replace("batch_id,\n    TIMESTAMP", f"""['bare', 'journal_lines', 'records', 'lines', 'csv_a', 'csv_b'][{_ORDER_KEY} % 6 + 1] AS batch_id,
+    TIMESTAMP""")
+
+_BATCH_DEDUP = """
+branked AS (SELECT *, row_number() OVER (PARTITION BY batch_id, surrogate_key ORDER BY payload_hash) AS rn FROM valid),
+bsilver AS (SELECT * EXCLUDE (rn) FROM branked WHERE rn = 1)"""
+
+_EDGES = f"""
+edges AS (
+  SELECT batch_id, CASE {_ORDER_KEY} % 11 WHEN 0 THEN '1234567890123456' || accounted_dr WHEN 1 THEN accounted_dr || '7'
+    WHEN 2 THEN 'x' || accounted_dr WHEN 3 THEN ' ' ELSE accounted_dr END AS a FROM raw
+),
+typed AS (SELECT batch_id, trim(a) AS a, TRY_CAST(trim(a) AS DECIMAL(38,10)) AS wide, TRY_CAST(trim(a) AS DECIMAL(20,4)) AS kept FROM edges)"""
+
+
+def _issue(batch: str, check: str, kind: str, journal: str, line: str, column: str, detail: str, source: str) -> str:
+    return (f'SELECT {batch} AS batch_id, {check} AS "check", {kind} AS issue_type, {journal} AS journal_id, '
+            f'{line} AS journal_line_num, {column} AS "column", {detail} AS detail FROM {source}')
+
+
+_NO_LINE = ("CAST(NULL AS VARCHAR)", "CAST(NULL AS INTEGER)")
+_text = "CAST({} AS VARCHAR)".format
+
+TB_ISSUES = " UNION ALL ".join([
+    _issue("batch_id", "'n_unbalanced'", "'dr_cr_imbalance'", *_NO_LINE, "geo || '/' || ledger_source",
+           f"'accounted_dr=' || {_text('accounted_dr')} || ' accounted_cr=' || {_text('accounted_cr')} || ' diff=' || {_text('diff')}", "tb_unbal"),
+    _issue("batch_id", "'n_unknown_accounts'", "'unknown_account'", "journal_id", "journal_line_num", "geo", "account", "tb_unknown"),
+    _issue("batch_id", "'n_missing_geos'", "'missing_geo'", *_NO_LINE, "'geo'", "geo", "tb_missing"),
+    _issue("batch_id", "'n_net_movement'", "'net_movement'", *_NO_LINE, "geo || '/' || account",
+           f"""'net_movement=' || {_text('net_movement')} || ' limit=' || {_text('"limit"')}""", "tb_net")])
+
+APPROVAL_ISSUES = " UNION ALL ".join([
+    _issue("batch_id", "'approval'", "'not_primary'", "journal_id", "journal_line_num", "'ledger_id'", "ledger_id",
+           "entries WHERE NOT ends_with(coalesce(ledger_id, ''), '-PRIMARY')"),
+    *[_issue("batch_id", "'approval'", "'negative_amount'", "journal_id", "journal_line_num", f"'{c}'", _text(c), f"entries WHERE {c} < 0")
+      for c in ("entered_dr", "entered_cr", "accounted_dr", "accounted_cr")],
+    _issue("batch_id", "'approval'", "'duplicate_key'", *_NO_LINE, "'surrogate_key'", "surrogate_key || ' x' || CAST(n - 1 AS VARCHAR)",
+           "(SELECT batch_id, surrogate_key, count(*) AS n FROM entries GROUP BY 1, 2 HAVING count(*) > 1)")])
+
+_CUT = """
+cut AS (SELECT * REPLACE (CAST(NULL AS DECIMAL(20,4)) AS accounted_cr, CAST(NULL AS VARCHAR) AS segment3_account) FROM dedup)"""
+_MISSING = " UNION ALL ".join([
+    "SELECT batch_id, 'missing_columns' AS issue_type, 'accounted_cr,segment3_account' AS c FROM (SELECT DISTINCT batch_id FROM cut)",
+    "SELECT batch_id, 'null_violation', c FROM (SELECT batch_id, "
+    + _blank_list([c for c in NON_NULLABLE_COLUMNS if c not in ("segment3_account", "accounted_cr")]) + " AS c FROM cut) WHERE c <> ''",
+    "SELECT batch_id, 'dr_cr_imbalance', NULL FROM (" + _unbalanced.format(src="cut") + ")",
+    *[f"SELECT batch_id, 'segment_violation', '{c}' FROM cut WHERE {c} IS NULL OR trim({c}) = ''" for c in SEGMENT_COLUMNS]])
+
+_SILVER_REASON = "concat_ws(',', " + ", ".join(
+    f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in NON_NULLABLE_COLUMNS if c != "load_timestamp") + ")"
+
+ORACLES.update({
+    "stream_silver": with_ctes(STREAM_ROWS, body=f"""
+SELECT CASE WHEN r = '' THEN 'silver' ELSE 'quarantine' END AS sink, r AS quarantine_reason, count(*) AS n
+FROM (SELECT {_SILVER_REASON} AS r FROM (SELECT DISTINCT ON (surrogate_key) * FROM ev)) GROUP BY 1, 2"""),
+    "tb_issues": with_ctes(*SILVER, TB_CHECKS, body=TB_ISSUES),
+    "approval_issues": with_ctes(*SILVER, entries_cte("MONTHLY"), body=APPROVAL_ISSUES),
+    "mec_missing_columns": with_ctes(*SILVER, _CUT, body=f"""
+SELECT batch_id, issue_type, c AS "column", count(*) AS n_issues FROM ({_MISSING}) GROUP BY 1, 2, 3"""),
+    "ingest_mixed_shapes": with_ctes(RAW, _SHAPES, body=f"SELECT {_COLUMNS} FROM canon"),
+    "batch_silver": with_ctes(RAW, _AR_CANON, VALID, _BATCH_DEDUP, body=f"SELECT {_COLUMNS} FROM bsilver"),
+    "amount_edges": with_ctes(RAW, _EDGES, body="""
+SELECT batch_id, CAST(sum(coalesce(wide, 0)) AS DECIMAL(38,6)) AS accounted_dr, count(*) AS n_lines,
+  count(*) FILTER (a IS NOT NULL AND a <> '' AND (kept IS NULL OR wide IS NULL OR wide <> kept)) AS n_lost
+FROM typed GROUP BY 1"""),
+    "rerun_corrected_batch": with_ctes(RAW, _AR_CANON, VALID, _BATCH_DEDUP, body="""
+SELECT batch_id, 'silver' AS sink, count(*) AS n FROM bsilver WHERE batch_id <> (SELECT min(batch_id) FROM raw) GROUP BY 1
+UNION ALL SELECT batch_id, 'quarantine', count(*) FROM classified
+WHERE quarantine_reason <> '' OR batch_id = (SELECT min(batch_id) FROM raw) GROUP BY 1"""),
+    "gold_one_batch": with_ctes(*SILVER, body=f"SELECT {_COLUMNS} FROM dedup WHERE batch_id = 'b1995'"),
+    "roundtrip_trial_balance": with_ctes(RAW, TB_TABLE, body="""
+SELECT geo, account, CAST(opening AS DECIMAL(38,4)) AS opening, CAST(activity AS DECIMAL(38,4)) AS activity FROM tb"""),
+    "entries_window": with_ctes(*SILVER, entries_cte("QUARTERLY"), body="""
+SELECT batch_id, ledger_source, geo, is_fallback, count(*) AS n_lines, CAST(sum(accounted_dr) AS DECIMAL(38,4)) AS accounted_dr
+FROM entries WHERE batch_id = 'je-quarterly-1995-03-31' GROUP BY 1, 2, 3, 4"""),
+    "duplicate_lines": with_ctes(*SILVER, body="""
+SELECT batch_id, delivery, count(*) AS n_rows FROM ranked WHERE rn > 1 GROUP BY 1, 2"""),
+})

@@ -63,7 +63,7 @@ PRIMARY_LEDGER_SUFFIX = "-PRIMARY"
 DEFAULT_SPARE = "000"
 DEFAULT_APPROVER = "L7-manager"
 BATCH_POSTED_BY = "fx-pipeline-service"
-PERIOD_POSTED_BY = "spursh-pipeline-service"
+PERIOD_POSTED_BY = "period-pipeline-service"
 
 # Defaults of a generated entry when the sub-ledger line lacks the field.
 ENTRY_DEFAULT_CURRENCY = "USD"
@@ -85,6 +85,8 @@ CHECK_SEGMENTS = "7_segment_validity"
 # ---------------------------------------------------------------------------
 
 AMOUNT_TYPE = T.DecimalType(20, 4)
+# Sums and checks use this one, so that no digit of an amount is lost.
+WIDE_AMOUNT_TYPE = T.DecimalType(38, 10)
 RATE_TYPE = T.DecimalType(18, 8)
 # Sums are reported at full precision so engines agree on the type.
 SUM_TYPE = T.DecimalType(38, 4)

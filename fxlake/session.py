@@ -8,7 +8,9 @@ only created when none is configured (tests, single-machine runs).
 from __future__ import annotations
 
 import functools
+import hashlib
 import os
+import re
 import tempfile
 import uuid
 
@@ -61,11 +63,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for stage outputs; created locally only when unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    """The shared folder for stage outputs. Only a local session may go without a setting: it gets one of its own."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set and the master is {master}: set it to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="fxlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -73,6 +76,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def is_missing(exc: Exception) -> bool:
+    """Whether a read failed because its path does not exist."""
+    return "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder of a table, if it exists, through the file system that holds it."""
+    fs, p = _hadoop_path(spark, path)
+    return bool(fs.exists(p) and fs.delete(p, True))
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove this application's stage tables, once nothing reads them any more."""
+    delete_path(spark, _stage_root(spark))
+
+
+def _stage_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark)}/stages/{spark.sparkContext.applicationId}"
+
+
 def stage_table(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the checkpoint folder and read it back.
 
@@ -81,7 +104,7 @@ def stage_table(df: DataFrame, label: str, partition_by: list[str] | None = None
     on the stage output.
     """
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "stages", f"{label}-{uuid.uuid4().hex}")
+    path = f"{_stage_root(spark)}/{label}-{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -94,8 +117,6 @@ def stage_table(df: DataFrame, label: str, partition_by: list[str] | None = None
 @functools.lru_cache(maxsize=1)
 def _code_version() -> str:
     """Hash of the library source (once per process): a code change invalidates memoised tables."""
-    import hashlib
-
     root = os.path.dirname(os.path.abspath(__file__))
     h = hashlib.sha1()
     for dirpath, _, files in sorted(os.walk(root)):
@@ -113,16 +134,17 @@ def _hadoop_path(spark: SparkSession, path: str):
 
 
 def input_fingerprint(spark: SparkSession, *paths: str) -> str:
-    """Fingerprint of input folders/files (name, length, modification time) and of the code."""
-    import hashlib
-    import uuid
-
+    """Fingerprint of input folders and all files below them (path, length, time) and of the code."""
     h = hashlib.sha1(_code_version().encode())
     try:
         for path in paths:
             fs, p = _hadoop_path(spark, path)
-            for st in sorted(fs.listStatus(p), key=lambda s: s.getPath().toString()):
-                h.update(f"{st.getPath().getName()}|{st.getLen()}|{st.getModificationTime()};".encode())
+            files = fs.listFiles(p, True)
+            found = []
+            while files.hasNext():
+                st = files.next()
+                found.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()};")
+            h.update("".join(sorted(found)).encode())
     except Exception:  # noqa: BLE001 - inputs cannot be listed: never reuse a table
         h.update(uuid.uuid4().hex.encode())
     return h.hexdigest()[:20]
@@ -136,12 +158,18 @@ def lake_table(spark: SparkSession, name: str, fingerprint: str, build) -> DataF
     counts as present only when its ``_SUCCESS`` marker exists, so a run that
     died half-way rebuilds it.
     """
-    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{fingerprint}")
+    path = f"{checkpoint_dir(spark)}/tables/{name}-{fingerprint}"
     try:
-        fs, marker = _hadoop_path(spark, os.path.join(path, "_SUCCESS"))
+        fs, marker = _hadoop_path(spark, f"{path}/_SUCCESS")
         present = fs.exists(marker)
     except Exception:  # noqa: BLE001 - no JVM gateway (e.g. a remote session): cut lineage only
         return stage_table(build(), name)
     if not present:
-        build().write.mode("overwrite").parquet(path)
+        # Built aside, then published by one rename: of two sessions that build it, one wins and both read it whole.
+        aside = f"{path}-{uuid.uuid4().hex}"
+        build().write.parquet(aside)
+        _, target = _hadoop_path(spark, path)
+        _, source = _hadoop_path(spark, aside)
+        if fs.exists(marker) or not fs.rename(source, target):
+            fs.delete(source, True)
     return spark.read.parquet(path)

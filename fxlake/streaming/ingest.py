@@ -1,40 +1,35 @@
 """Intercompany event stream to Bronze.
 
-Events arrive as lines of base64 text, each holding one JSON object. A
-Structured Streaming file source reads them (Kafka in production: the same plan
-with ``format("kafka")`` and ``value`` cast to string); every micro-batch is
-handled in ``foreachBatch``:
-
-1. decode and parse; undecodable or malformed payloads go to a corrupt table
-   instead of failing the batch (T5);
-2. normalise to the 24 columns (P4), key and hash (H1, H2);
-3. keep one row per key, then anti-join the key registry of *earlier* epochs
-   (J3): the registry is partitioned by epoch, so a replayed micro-batch
-   (same epoch id after a failure) overwrites its own output and gives the same
-   answer — exactly-once without a transactional sink;
-4. write Bronze rows, then registry rows, then Silver / quarantine rows of
-   the accepted events (T6), then the epoch's counters (A9).
-
-The registry is unbounded, as in the reference, but partitioned by a key-prefix
-bucket: a micro-batch reads only the buckets of its own keys. ``dedup_within_watermark``
-is the bounded-state alternative when late duplicates older than a delay can be
-ignored.
+Events are lines of base64 text, each holding one JSON object. ``run_stream``
+takes any streaming DataFrame with a text column ``value`` (files here; a Kafka
+source with its value cast to string elsewhere). The streaming plan parses,
+normalises and keys every event once and lets Structured Streaming drop the
+keys that it has seen (``dropDuplicates`` with the RocksDB state store: look-ups
+per event, no read of the history). Undecodable payloads pass with a key of
+their own (T5). Each micro-batch then writes one classified table under its
+run and epoch, and everything else is read from that table: corrupt payloads,
+Bronze, the registry, Silver and quarantine, and counters.
+
+A run is the checkpoint's query id. Output of the same (run, epoch) is
+overwritten, so a replayed micro-batch gives the same answer. A replaced
+checkpoint is another run with an empty state: it overwrites nothing, and its
+events are anti-joined with the keys that earlier runs registered.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fxlake.functions.keys import payload_hash, surrogate_key
 from fxlake.functions.scalar import date_prefix, period_name
-from fxlake.operators.dedup import keep_one_per_key
-from fxlake.operators.util import bounded_broadcast
-from fxlake.schema import AMOUNT_TYPE, CANONICAL_COLUMNS, DEFAULT_SPARE, RATE_TYPE, STREAM_SOURCE_SYSTEM
+from fxlake.operators.quality import quarantine_split
+from fxlake.session import is_missing
+from fxlake.schema import AMOUNT_TYPE, CANONICAL_COLUMNS, CANONICAL_SCHEMA, DEFAULT_SPARE, RATE_TYPE, STREAM_SOURCE_SYSTEM
 
 SEGMENT_FIELDS = T.StructType([T.StructField(n, T.StringType()) for n in
                                ["entity", "cost_center", "account", "project", "intercompany", "product", "spare"]])
@@ -48,12 +43,7 @@ EVENT_SCHEMA = T.StructType(
 
 BRONZE_COLUMNS = [c for c in CANONICAL_COLUMNS if c != "load_timestamp"]
 STAGE = "bronze"
-BUCKET_HEX_DIGITS = 2   # 256 registry buckets by key prefix
-
-
-def key_bucket():
-    """Registry partition of a key: ``k`` + its first hex digits (text, never inferred as a number)."""
-    return F.concat(F.lit("k"), F.substring(F.col("surrogate_key"), 1, BUCKET_HEX_DIGITS))
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def parse_events(raw: DataFrame) -> DataFrame:
@@ -66,7 +56,7 @@ def parse_events(raw: DataFrame) -> DataFrame:
     return parsed.withColumn("is_corrupt", corrupt)
 
 
-def normalise(events: DataFrame, run_ts: dt.datetime) -> DataFrame:
+def normalise(events: DataFrame, run_ts: dt.datetime, keep: list[str] | None = None) -> DataFrame:
     """Payload struct -> canonical row (P4, H3, H4, H16): flat field, then nested segment,
     then legacy name, then default."""
     e = lambda name: F.col(f"e.{name}")
@@ -96,84 +86,109 @@ def normalise(events: DataFrame, run_ts: dt.datetime) -> DataFrame:
         "batch_id": F.lit(f"ico-stream-{run_ts:%Y%m%d}"),
         "load_timestamp": F.lit(run_ts).cast("timestamp"),
     }
-    out = events.select(*[v.alias(k) for k, v in cols.items()])
+    out = events.select(*[v.alias(k) for k, v in cols.items()], *(keep or []))
     out = out.withColumns({"surrogate_key": surrogate_key(), "payload_hash": payload_hash()})
-    return out.select(*CANONICAL_COLUMNS)
-
-
-def process_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, root: str,
-                  run_ts: dt.datetime) -> None:
-    """One micro-batch: parse, normalise, dedupe against earlier epochs, write."""
-    parsed = parse_events(batch)
-    epoch_dir = f"epoch={epoch_id}"
-    parsed.filter("is_corrupt").select("raw_value", "payload").write.mode("overwrite").parquet(
-        os.path.join(root, "corrupt", epoch_dir))
-    rows = normalise(parsed.filter(~F.col("is_corrupt")), run_ts)
-    registry_path = os.path.join(root, "registry")
-    fresh = keep_one_per_key(rows, "surrogate_key").withColumn("bucket", key_bucket())
+    return out.select(*CANONICAL_COLUMNS, *(keep or []))
+
+
+def unique_events(stream: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """The plan before the sink: events of new keys and all corrupt payloads, with input counts as metrics."""
+    rows = normalise(parse_events(stream), run_ts, keep=["is_corrupt", "raw_value"])
+    seen = rows.observe("seen", F.count(F.lit(1)).alias("rows"), F.count_if("is_corrupt").alias("corrupt"))
+    key = F.when(F.col("is_corrupt"), F.uuid()).otherwise(F.col("surrogate_key"))
+    return seen.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        registry = spark.read.parquet(registry_path)
-    except Exception as exc:  # noqa: BLE001 - no registry yet (first epoch)
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if not is_missing(exc):
             raise
-        registry = None
-    if registry is not None:
-        # Only the registry buckets of this micro-batch's keys are read: the
-        # semi-join with the (size-checked, broadcast) keys prunes the bucket
-        # partitions dynamically, so the cost does not grow with the history.
-        keys = bounded_broadcast(fresh.select("bucket", "surrogate_key"))
-        seen = (registry.filter((F.col("stage") == STAGE) & (F.col("epoch") < epoch_id))
-                        .join(keys, ["bucket", "surrogate_key"], "left_semi")
-                        .select("surrogate_key"))
-        fresh = fresh.join(seen, "surrogate_key", "left_anti")
-    fresh = fresh.drop("bucket")
-    bronze_path = os.path.join(root, "bronze", epoch_dir)
-    fresh.write.mode("overwrite").parquet(bronze_path)
-    landed = spark.read.parquet(bronze_path)
-    (landed.select("surrogate_key", F.lit(STREAM_SOURCE_SYSTEM).alias("source_system"),
-                   F.lit(bronze_path).alias("object_key"), "payload_hash",
-                   F.lit(run_ts).cast("timestamp").alias("processed_at"), key_bucket().alias("bucket"))
-           .repartition("bucket")   # one file per bucket and epoch, not one per task
-           .write.mode("overwrite").partitionBy("bucket")
-           .parquet(os.path.join(registry_path, f"stage={STAGE}", epoch_dir)))
+        return None
+
+
+def process_batch(spark: SparkSession, batch: DataFrame, run: str, epoch_id: int, root: str, run_ts: dt.datetime) -> None:
+    """One micro-batch of ``unique_events``: write it once, then derive every output of (run, epoch) from that."""
+    part = f"run={run}/epoch={epoch_id}"
+
+    def write(df: DataFrame, table: str) -> str:
+        path = f"{root}/{table}/{part}"
+        df.write.mode("overwrite").parquet(path)
+        return path
+
+    rows = spark.read.parquet(write(batch, "classified"))
+    write(rows.where("is_corrupt").select("raw_value"), "corrupt")
+    fresh = rows.where("NOT is_corrupt").select(*CANONICAL_COLUMNS)
+    registry = _read(spark, f"{root}/registry")
+    if registry is not None and not (others := registry.where(F.col("run") != run).select("surrogate_key")).isEmpty():
+        fresh = fresh.join(others, "surrogate_key", "left_anti").select(*CANONICAL_COLUMNS)
+    bronze = write(fresh, "bronze")
+    landed = spark.read.schema(CANONICAL_SCHEMA).parquet(bronze)
+    write(landed.select("surrogate_key", F.lit(STREAM_SOURCE_SYSTEM).alias("source_system"), F.lit(STAGE).alias("stage"),
+                        F.lit(bronze).alias("object_key"), "payload_hash",
+                        F.lit(run_ts).cast("timestamp").alias("processed_at")), "registry")
     # The accepted events continue to Silver in the same micro-batch (P6 split).
-    from fxlake.operators.quality import quarantine_split
-
     valid, bad = quarantine_split(landed)
-    valid.write.mode("overwrite").parquet(os.path.join(root, "silver", epoch_dir))
-    bad.write.mode("overwrite").parquet(os.path.join(root, "quarantine", epoch_dir))
-    accepted = landed.count()
-    counts = (parsed.agg(F.count_if(~F.col("is_corrupt")).alias("n_parsed"),
-                         F.count_if("is_corrupt").alias("corrupt"))
-                    .select(F.lit(epoch_id).cast("long").alias("epoch"),
-                            F.lit(accepted).cast("long").alias("accepted"),
-                            (F.col("n_parsed") - F.lit(accepted)).alias("skipped"), "corrupt"))
-    counts.write.mode("overwrite").parquet(os.path.join(root, "counters", epoch_dir))
+    write(valid, "silver")
+    write(bad, "quarantine")
+    write(landed.agg(F.count(F.lit(1)).alias("accepted")), "accepted")
+
+
+def run_stream(stream: DataFrame, root: str, run_ts: dt.datetime, checkpoint: str | None = None) -> None:
+    """Process what any streaming source (a text column ``value``) holds now, then stop (Trigger.AvailableNow, T1)."""
+    spark = stream.sparkSession
+    checkpoint = checkpoint or f"{root}/_checkpoint"
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        process_batch(spark, batch, _run_id(spark, checkpoint), epoch, root, run_ts)
+
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.numRecentProgressUpdates": "100000"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        query = (unique_events(stream, run_ts).writeStream.foreachBatch(handle)
+                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    query.awaitTermination()
+    seen = [(p["batchId"], int(m["rows"]), int(m["corrupt"])) for p in query.recentProgress
+            if (m := (p["observedMetrics"] or {}).get("seen")) is not None]
+    if seen:
+        # One row a micro-batch.
+        run = _run_id(spark, checkpoint)
+        counts = spark.createDataFrame(seen, "epoch long, rows long, corrupt long").withColumn("run", F.lit(run))
+        counts.coalesce(1).write.mode("append").parquet(f"{root}/seen")
+
+
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the checkpoint gives its query, the same after every restart."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
 
 
 def run_available(spark: SparkSession, input_dir: str, root: str, run_ts: dt.datetime,
-                  max_files_per_trigger: int = 1000) -> None:
-    """Process every file not yet seen by the checkpoint, then stop (Trigger.AvailableNow, T1)."""
+                  max_files_per_trigger: int = 1000, checkpoint: str | None = None) -> None:
+    """``run_stream`` over the text files of a folder that the checkpoint has not seen."""
     stream = (spark.readStream.format("text")
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .option("pathGlobFilter", "*.txt")
               .load(input_dir))
-    query = (stream.writeStream
-             .foreachBatch(lambda df, epoch: process_batch(spark, df, epoch, root, run_ts))
-             .option("checkpointLocation", os.path.join(root, "_checkpoint"))
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
+    run_stream(stream, root, run_ts, checkpoint)
 
 
-def dedup_within_watermark(stream: DataFrame, event_time: str, delay: str) -> DataFrame:
-    """Bounded-state variant of T2: drop repeats of a key seen within ``delay`` of event time."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["surrogate_key"])
+def read_bronze(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/bronze")
 
 
-def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, "bronze"))
+def read_silver(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/silver")
 
 
 def read_counters(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, "counters"))
+    """Per (run, epoch): events accepted, skipped as repeats, and corrupt (A9). Few rows: one a micro-batch."""
+    accepted = spark.read.parquet(f"{root}/accepted").select(F.col("run").cast("string").alias("run"), F.col("epoch").cast("long").alias("epoch"), "accepted")
+    seen = spark.read.parquet(f"{root}/seen").groupBy("run", "epoch").agg(F.max("rows").alias("rows"), F.max("corrupt").alias("corrupt"))
+    return accepted.join(seen, ["run", "epoch"]).select(
+        "run", "epoch", "accepted", (F.col("rows") - F.col("corrupt") - F.col("accepted")).alias("skipped"), "corrupt")

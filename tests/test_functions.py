@@ -1,3 +1,4 @@
+from decimal import Decimal
 import hashlib
 
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from fxlake.functions import (
     is_blank,
     payload_hash,
     period_name,
+    is_lost_amount,
     safe_amount,
     surrogate_key,
 )
@@ -52,8 +54,15 @@ def test_date_prefix_takes_first_ten_chars(spark):
 
 def test_safe_amount_treats_blank_null_and_garbage_as_zero(spark):
     df = spark.createDataFrame([("1.5",), ("",), ("null",), ("abc",), (None,), ("-2.25",)], "a string")
-    got = [str(r.v) for r in df.select(safe_amount("a").alias("v")).collect()]
-    assert got == ["1.5000", "0.0000", "0.0000", "0.0000", "0.0000", "-2.2500"]
+    got = [r.v for r in df.select(safe_amount("a").alias("v")).collect()]
+    assert got == [Decimal("1.5"), 0, 0, 0, 0, Decimal("-2.25")]
+
+
+def test_safe_amount_keeps_large_and_fine_amounts(spark):
+    texts = ["12345678901234567.00", "0.00004", "9999999999999999.9999"]
+    df = spark.createDataFrame([(t,) for t in texts], "a string")
+    assert [r.v for r in df.select(safe_amount("a").alias("v")).collect()] == [Decimal(t) for t in texts]
+    assert [r.v for r in df.select(is_lost_amount("a").alias("v")).collect()] == [True, True, False]
 
 
 def test_is_blank(spark):

@@ -35,7 +35,9 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """Of the catalogue; the llm package lists its own."""
+    assert set(entry.QUERIES) <= set(entry.oracle_sql())
+    assert set(entry.QUERIES) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):
