@@ -17,10 +17,12 @@ repeated rows get equal pieces.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from array import array
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -129,9 +131,17 @@ class PairTable:
     def __init__(self, vocabulary: Vocabulary):
         ids = vocabulary.ids
         found = [(ids[p[:k]] * (1 << 32) + ids[p[k:]], ids[p]) for p in ids for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids]
-        found.sort()
-        self.keys = np.array([k for k, _ in found], np.int64)
-        self.joined = np.array([k for _, k in found], np.int32)
+        pair = np.array([k for k, _ in found], np.int64)
+        joined = np.array([k for _, k in found], np.int32)
+        # An open table with few pairs a slot: most look-ups end at the first probe.
+        self.bits = max(10, int(8 * len(pair)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.joined = np.full(1 << self.bits, -1, np.int32)
+        for k, to in zip(pair.tolist(), joined.tolist()):
+            slot = int(self._slot(np.array([k], np.int64))[0])
+            while self.keys[slot] >= 0:
+                slot = (slot + 1) & ((1 << self.bits) - 1)
+            self.keys[slot], self.joined[slot] = k, to
         # Best first; position in this order stands for the score.
         self.order = np.full(len(vocabulary.surface), 1 << 30, np.int32)
         best = sorted(vocabulary.rank, key=lambda k: -vocabulary.rank[k])
@@ -144,28 +154,40 @@ class PairTable:
                 self.points[ord(piece)] = k
         self.points[0x20] = ids[SPACE]
 
+    def _slot(self, pair: np.ndarray) -> np.ndarray:
+        return ((pair.view(U64) * U64(0x9E3779B97F4A7C15)) >> U64(64 - self.bits)).astype(np.int64)
+
     def join(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The joined piece of each pair, -1 where there is none."""
-        want = left.astype(np.int64) * (1 << 32) + right
-        spot = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
-        return np.where(self.keys[spot] == want, self.joined[spot], -1)
+        pair = (left.astype(np.int64) << 32) + right
+        slot = self._slot(pair)
+        held = self.keys[slot]
+        out = np.where(held == pair, self.joined[slot], -1)
+        rest = np.flatnonzero((held != pair) & (held >= 0))
+        while len(rest):
+            slot[rest] = (slot[rest] + 1) & ((1 << self.bits) - 1)
+            held = self.keys[slot[rest]]
+            hit = held == pair[rest]
+            out[rest[hit]] = self.joined[slot[rest[hit]]]
+            rest = rest[~hit & (held >= 0)]
+        return out
 
 
 NONE = 1 << 30
 
 
-def encode_many(ids: np.ndarray, sizes: np.ndarray, table: PairTable, key: int, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """``encode_chunk`` for many chunks at once. ids: a row of characters each, padded; returns rows and sizes."""
+def encode_many(ids: np.ndarray, sizes: np.ndarray, table: PairTable, keys: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """``encode_chunk`` for many chunks at once. ids: a row of characters each, padded; keys: one a row. Returns rows and sizes."""
     n, width = ids.shape
     ids = ids.copy()
     place = np.broadcast_to(np.arange(width, dtype=np.int32), ids.shape).copy()
     out, out_sizes = ids.copy(), sizes.copy()
 
-    def propose(left, right, at):
+    def propose(left, right, at, key):
         joined = table.join(left, right)
         rank = np.where(joined >= 0, table.order[joined], NONE)
         if threshold:
-            h = (U64(key) ^ (left.astype(U64) * U64(0x9E3779B1)) ^ (right.astype(U64) * U64(0x85EBCA77))
+            h = (key ^ (left.astype(U64) * U64(0x9E3779B1)) ^ (right.astype(U64) * U64(0x85EBCA77))
                  ^ (at.astype(U64) * U64(0xC2B2AE3D))) * U64(0x27D4EB2F165667C5)
             rank[((h >> U64(29)) ^ (h >> U64(43))) & U64(0xFFFFF) < U64(threshold)] = NONE
         return rank
@@ -173,7 +195,7 @@ def encode_many(ids: np.ndarray, sizes: np.ndarray, table: PairTable, key: int,
     if width > 1:
         rank = np.full((n, width), NONE, np.int32)
         r, c = np.nonzero(np.arange(1, width) < sizes[:, None])
-        rank[r, c] = propose(ids[r, c], ids[r, c + 1], place[r, c])
+        rank[r, c] = propose(ids[r, c], ids[r, c + 1], place[r, c], keys[r])
         active = np.arange(n)
         cols = np.arange(width)
         while True:
@@ -183,7 +205,7 @@ def encode_many(ids: np.ndarray, sizes: np.ndarray, table: PairTable, key: int,
             if not live.all():
                 done = ~live
                 out[active[done]], out_sizes[active[done]] = ids[done], sizes[done]
-                active, ids, place, rank, sizes, at = active[live], ids[live], place[live], rank[live], sizes[live], at[live]
+                active, ids, place, rank, sizes, at, keys = (x[live] for x in (active, ids, place, rank, sizes, at, keys))
                 rows = np.arange(len(active))
             if not len(active):
                 break
@@ -195,9 +217,9 @@ def encode_many(ids: np.ndarray, sizes: np.ndarray, table: PairTable, key: int,
             rank[rows, at] = NONE
             rank[rows, sizes - 1] = NONE
             k = np.flatnonzero(at + 1 < sizes)
-            rank[k, at[k]] = propose(ids[k, at[k]], ids[k, at[k] + 1], place[k, at[k]])
+            rank[k, at[k]] = propose(ids[k, at[k]], ids[k, at[k] + 1], place[k, at[k]], keys[k])
             k = np.flatnonzero(at > 0)
-            rank[k, at[k] - 1] = propose(ids[k, at[k] - 1], ids[k, at[k]], place[k, at[k] - 1])
+            rank[k, at[k] - 1] = propose(ids[k, at[k] - 1], ids[k, at[k]], place[k, at[k] - 1], keys[k])
     return out, out_sizes
 
 
@@ -210,8 +232,10 @@ class Encoder:
         self.keys = mix(np.arange(VARIANTS, dtype=U64) + mix(np.array([seed], np.int64).view(U64))).tolist()
         self.known: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
 
-    def _learn(self, chunks: list[str], variant: int) -> None:
-        known, key = self.known[variant], self.keys[variant]
+    def _learn(self, chunks: list[str], variants: list[int]) -> list[bytes]:
+        """The ids of (chunk, variant) pairs."""
+        out: list[bytes] = [b""] * len(chunks)
+        keys = np.array(self.keys, U64)[variants]
         sizes = np.array([len(c) for c in chunks])
         points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
         ids = self.table.points[points]
@@ -220,47 +244,54 @@ class Encoder:
         np.cumsum(ids < 0, out=odd[1:])
         plain = (odd[ends] == odd[ends - sizes]) & (sizes <= SHORT)
         for k in np.flatnonzero(~plain).tolist():
-            known[chunks[k]] = array("i", encode_chunk(chunks[k], self.vocabulary, key, self.threshold)).tobytes()
+            out[k] = array("i", encode_chunk(chunks[k], self.vocabulary, int(keys[k]), self.threshold)).tobytes()
         low = 0
-        for width in (4, 8, 12, 16, 24, SHORT):
+        for width in (5, 8, 12, 18, SHORT):
             take = np.flatnonzero(plain & (sizes <= width) & (sizes > low))
             low = width
             if len(take):
                 cols = np.arange(width)
                 inside = cols < sizes[take][:, None]
                 rows = np.where(inside, ids[np.minimum((ends - sizes)[take][:, None] + cols, len(ids) - 1)], -1)
-                got, got_sizes = encode_many(rows, sizes[take], self.table, key, self.threshold)
+                got, got_sizes = encode_many(rows, sizes[take], self.table, keys[take], self.threshold)
                 flat = got[np.arange(width) < got_sizes[:, None]].astype(np.int32).tobytes()
                 stops = (4 * np.cumsum(got_sizes)).tolist()
                 for k, a, b in zip(take.tolist(), [0, *stops], stops):
-                    known[chunks[k]] = flat[a:b]
+                    out[k] = flat[a:b]
+        return out
 
     def encode(self, texts: list[str | None], docs: list[int]) -> list[bytes | None]:
         """The ids of each text as little-endian 32-bit integers."""
-        for known in self.known:
-            if len(known) > REMEMBER // VARIANTS:
-                known.clear()
-        chunks = [None if t is None else CHUNK.findall(" " + t) for t in texts]
+        known = self.known
+        for v, one in enumerate(known):
+            if len(one) > REMEMBER // VARIANTS:
+                # Frequent chunks were met early: the older half stays.
+                known[v] = dict(islice(one.items(), REMEMBER // VARIANTS // 2))
+        get = [one.get for one in known]
         own = mix(np.array([self.seed], np.int64).view(U64))
         starts = mix(np.array(docs, np.int64).view(U64) + own)
-        variants = [None if c is None else (mix(np.arange(len(c), dtype=U64) + s) & U64(VARIANTS - 1)).tolist()
-                    for c, s in zip(chunks, starts)]
-        known = self.known
-        new: list[dict[str, None]] = [{} for _ in range(VARIANTS)]
-        for c, v in zip(chunks, variants):
-            if c is not None:
-                for x, k in zip(c, v):
-                    if x not in known[k]:
-                        new[k][x] = None
-        for k, wanted in enumerate(new):
-            if wanted:
-                self._learn(list(wanted), k)
-        out = [None if c is None else b"".join([known[k][x] for x, k in zip(c, v)]) for c, v in zip(chunks, variants)]
-        for k, wanted in enumerate(new):
-            for x in wanted:
-                if len(x) > SHORT:
-                    del known[k][x]
-        return out
+        found: list[list | None] = []
+        missing: dict[tuple[str, int], list] = {}
+        for n, (text, start) in enumerate(zip(texts, starts)):
+            if text is None:
+                found.append(None)
+                continue
+            chunks = CHUNK.findall(" " + text)
+            variants = (mix(np.arange(len(chunks), dtype=U64) + start) & U64(VARIANTS - 1)).tolist()
+            got = [get[v](c) for c, v in zip(chunks, variants)]
+            found.append(got)
+            at = -1
+            for _ in range(got.count(None)):
+                at = got.index(None, at + 1)
+                missing.setdefault((chunks[at], variants[at]), []).append((n, at))
+        if missing:
+            learnt = self._learn([c for c, _ in missing], [v for _, v in missing])
+            for ((chunk, variant), places), ids in zip(missing.items(), learnt):
+                for n, at in places:
+                    found[n][at] = ids
+                if len(chunk) <= SHORT:
+                    known[variant][chunk] = ids
+        return [None if got is None else b"".join(got) for got in found]
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -275,6 +306,17 @@ def _encoder(vocabulary: Vocabulary, path: str, seed: int, dropout: float) -> En
     return _encoders[key]
 
 
+def _lists(ids: list[bytes | None]) -> pa.ListArray:
+    sizes = np.array([0 if x is None else len(x) // 4 for x in ids], np.int64)
+    flat = np.frombuffer(b"".join(x for x in ids if x is not None), np.int32)
+    offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(flat), mask=pa.array([x is None for x in ids]))
+
+
+def _text(ids: np.ndarray, surface: list[bytes]) -> str:
+    return b"".join([surface[k] for k in ids.tolist()])[1:].decode()
+
+
 def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL, seed: int = SEED,
            dropout: float = DROPOUT) -> DataFrame:
     """``documents`` as a struct ``row`` and ``ids``, an array of integers."""
@@ -287,10 +329,7 @@ def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         encoder = _encoder(shared.value, path, seed, dropout)
         for b in slices(batches, "text"):
             ids = encoder.encode(b.column(1).to_pylist(), b.column(2).to_pylist())
-            sizes = np.array([0 if x is None else len(x) // 4 for x in ids])
-            flat = np.frombuffer(b"".join(x for x in ids if x is not None), np.int32)
-            offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
-            lists = pa.ListArray.from_arrays(offsets, pa.array(flat), mask=pa.array([x is None for x in ids]))
+            lists = _lists(ids)
             yield pa.RecordBatch.from_arrays([b.column(0), lists], ["row", "ids"])
 
     return df.mapInArrow(run, schema)
@@ -306,16 +345,36 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
         surface = shared.value
         for b in batches:
             ids = b.column(at)
-            flat, offsets = ids.values.to_numpy().tolist() if len(ids.values) else [], ids.offsets.to_numpy()
+            flat, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
             gone = ids.is_null().to_pylist()
-            texts = [None if null else b"".join([surface[k] for k in flat[a:z]])[1:].decode()
-                     for null, a, z in zip(gone, offsets[:-1].tolist(), offsets[1:].tolist())]
+            texts = [None if null else _text(flat[a:z], surface) for null, a, z in zip(gone, offsets[:-1].tolist(), offsets[1:].tolist())]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], schema=pa.schema(
                 [*b.schema, pa.field("decoded", pa.string())]))
 
     return encoded.mapInArrow(run, schema)
 
 
-def digest(ids: str) -> F.Column:
-    """A hash of an array of ids, in order."""
-    return F.xxhash64(ids)
+def round_trip(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL, seed: int = SEED,
+               dropout: float = DROPOUT, with_ids: bool = True) -> DataFrame:
+    """Encode and decode in one pass: ``id_col``, n_pieces, ids_sha256, lossless and, unless ``with_ids`` is off, ids.
+
+    ``ids_sha256`` is the digest of the ids as little-endian 32-bit integers; a
+    null text has null ids, no pieces and no digest.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(load(path))
+    df = documents.select(id_col, F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long")).alias("doc"))
+    schema = StructType([df.schema[id_col]]).add("n_pieces", "long").add("ids_sha256", "string").add("lossless", "boolean")
+    if with_ids:
+        schema = schema.add("ids", ArrayType(IntegerType()))
+
+    def run(batches):
+        encoder, surface = _encoder(shared.value, path, seed, dropout), shared.value.surface
+        for b in slices(batches, "text"):
+            texts = b.column(1).to_pylist()
+            ids = encoder.encode(texts, b.column(2).to_pylist())
+            same = [t == (None if x is None else _text(np.frombuffer(x, np.int32), surface)) for t, x in zip(texts, ids)]
+            out = [b.column(0), pa.array([0 if x is None else len(x) // 4 for x in ids], pa.int64()),
+                   pa.array([None if x is None else hashlib.sha256(x).hexdigest() for x in ids], pa.string()), pa.array(same)]
+            yield pa.RecordBatch.from_arrays([*out, _lists(ids)] if with_ids else out, schema.names)
+
+    return df.mapInArrow(run, schema)

@@ -45,10 +45,7 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every text, their digest, and whether decoding gives the text back."""
-    texts = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    both = pieces.decode(pieces.encode(texts))
-    return both.select("row.doc_id", F.size("ids").cast("long").alias("n_pieces"), pieces.digest("ids").alias("ids_hash"),
-                       F.col("decoded").eqNullSafe(F.col("row.text")).alias("lossless"))
+    return pieces.round_trip(_read(spark, sf_dir, "documents"), with_ids=False)
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,6 +38,8 @@ def test_round_trip_and_seed(spark, awkward):
     out = pieces.decode(pieces.encode(frame))
     assert out.where(~F.col("decoded").eqNullSafe(F.col("row.text"))).count() == 0
     assert out.where("row.text is null").where("ids is null").count() == 2
+    whole = {(r.doc_id, r.n_pieces, None if r.ids is None else tuple(r.ids)) for r in pieces.round_trip(frame).where("lossless").collect()}
+    assert whole == {(r["row"].doc_id, len(r.ids or []), None if r.ids is None else tuple(r.ids)) for r in out.collect()}
     text = make(spark, [(1, prose(1, 300)), (2, prose(1, 300)), (1, prose(1, 300))])
 
     def ids(**options):
