@@ -29,13 +29,13 @@ ACCESS = "AKIA[A-Z0-9]{14,}+"
 HEX = "[0-9a-f]{16,}+"
 MIN_VALUE, MIN_LENGTH = 12, 16
 TOKEN = "[A-Za-z0-9+/_=-]{%d,}+" % MIN_LENGTH
-ORDINARY = "[A-Za-z_]{8,}+"
+ORDINARY = "(?<![A-Za-z0-9+/_=.-])[A-Za-z_]{8,}+(?![A-Za-z0-9+/_=-])"
 KINDS = ("assign", "access", "hex", "random")
 
 SAMPLE_DOCS = 2000
 SAMPLE_STRINGS = 20000
 SMOOTHING = 0.5
-FALSE_RATE = 0.0005
+FALSE_RATE = 0.001
 ALPHABET = 64 + 4
 
 _CUES = "password|passwd|secret|token|apikey|api_key".split("|")
@@ -66,7 +66,9 @@ def labelled(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = (body.select("order", *[F.expr(sql).alias(k) for k, sql in _base("text").items()])
              .select("order", values.alias("values")).where("size(values) > 0").orderBy("order").limit(docs)
              .select(F.explode("values").alias("s"), F.lit(True).alias("random")))
-    words = (body.orderBy("order").limit(docs)
+    # The hashes alone are sorted; the texts of the sample are read by the place of the last one.
+    last = body.select("order").orderBy("order").limit(docs).agg(F.max("order")).first()[0]
+    words = (body.where(F.col("order") <= F.lit(last).cast("long"))
              .select(F.explode(F.expr(f"regexp_extract_all(text, {quoted(ORDINARY)}, 0)")).alias("s"), F.lit(False).alias("random")))
     both = found.unionByName(words).where(F.col("s").rlike(r"^[\x21-\x7E]+$")).distinct()
     order = F.xxhash64("s")
