@@ -22,7 +22,7 @@ def brute(text):
 def test_base_counts(spark, awkward):
     documents = awkward + [(100, "a b c d e f g h " * 5), (101, "x\nx\n\n \n \nx y\nX"), (102, "#*$% <> é | & " + prose(3, 30)),
                            (103, prose(4, 50) + " " + prose(4, 9) + "\n" + prose(4, 9)), (104, prose(5, 19)), (105, prose(5, 20))]
-    got = sorted(((r["row"].doc_id, *(r[c] for c in quality.COUNTS), r.base_failed) for r in quality.judge(make(spark, documents), None).collect()), key=str)
+    got = sorted(((r.doc_id, *(r[c] for c in quality.COUNTS), r.base_failed) for r in quality.judge(make(spark, documents), None).collect()), key=str)
     assert got == sorted(((d, *brute(t)) for d, t in documents), key=str)
 
 
@@ -39,7 +39,7 @@ def test_held_out_accuracy(spark):
                                    "doc_id long, quality int")
     frame = make(spark, good + junk)
     rows = quality.judge(frame, quality.fit(frame, labels)).collect()
-    kept = {r["row"].doc_id for r in rows if r.kept}
+    kept = {r.doc_id for r in rows if r.kept}
     fresh_good, fresh_junk = {d for d, _ in good[100:]}, {d for d, _ in junk[100:]}
     assert len(kept & fresh_good) >= 0.95 * len(fresh_good)
     assert len(kept & fresh_junk) <= 0.1 * len(fresh_junk)
