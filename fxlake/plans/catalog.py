@@ -25,7 +25,7 @@ from fxlake.operators.period import aggregate_for_period
 from fxlake.operators.canonical import DEFAULT_RUN_TS, canonicalize, complete_schema, gold_batch
 from fxlake.operators.dedup import keep_one_per_key
 from fxlake.operators.quality import quarantine_split as split_valid
-from fxlake.session import checkpoint_dir, configure, input_fingerprint, lake_table
+from fxlake.session import checkpoint_dir, configure, input_fingerprint, lake_table, stage_table
 from fxlake.plans import flows as FL
 from fxlake.sources import files as FS
 from fxlake.streaming import ingest as ST
@@ -115,9 +115,7 @@ def mec_segment_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mec_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = silver_lines(spark, sf_dir)
-    iss = V.issues(lines, account_reference(spark, sf_dir))
-    return V.summary(lines, iss)
+    return V.gate_summary(silver_lines(spark, sf_dir), account_reference(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -219,7 +217,8 @@ def approval_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _approvals(spark: SparkSession, sf_dir: str):
     entries = _entries(spark, sf_dir)
-    reqs = AP.requests(entries, AP.request_issues(entries))
+    # One row a batch, read by several joins.
+    reqs = stage_table(AP.requests(entries, AP.request_issues(entries)), "requests")
     accepted, rejected = AP.valid_decisions(approval_decisions(spark, sf_dir), reqs)
     return entries, reqs, accepted, rejected
 
@@ -237,9 +236,9 @@ def approval_rejected_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def booking_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries, reqs, accepted, _ = _approvals(spark, sf_dir)
     state = AP.current_state(reqs, accepted)
-    validation = V.summary(entries, V.issues(entries, account_reference(spark, sf_dir)))
-    counts = entries.groupBy("batch_id").agg(F.count(F.lit(1)).alias("line_count"))
-    return BK.booking_status(entries, validation, state, booking_audit(spark, sf_dir), counts, "MONTHLY")
+    validation = stage_table(V.gate_summary(entries, account_reference(spark, sf_dir)), "gate")
+    counts = validation.select("batch_id", F.col("n_lines").alias("line_count"))
+    return BK.booking_status(validation, validation, state, booking_audit(spark, sf_dir), counts, "MONTHLY")
 
 
 def idempotent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,3 +215,22 @@ def test_complete_schema_types_missing_columns(spark):
     out = complete_schema(df)
     assert out.columns == CANONICAL_COLUMNS
     assert dict(out.dtypes)["entered_dr"] == "decimal(20,4)" and dict(out.dtypes)["effective_date"] == "date"
+
+
+def test_gate_summary_equals_the_summary_of_issues(spark):
+    from pyspark.sql import functions as F
+
+    from fxlake.operators import validate as V
+    from fxlake.schema import CANONICAL_SCHEMA
+
+    rows = spark.range(60).select(*[
+        {"journal_id": F.concat(F.lit("J"), F.col("id") % 7), "batch_id": F.concat(F.lit("b"), F.col("id") % 3),
+         "accounted_dr": F.when(F.col("id") % 5 != 0, F.lit(1)), "accounted_cr": F.when(F.col("id") % 4 != 0, F.lit(1)),
+         "segment3_account": F.when(F.col("id") % 11 == 0, F.lit(" ")).otherwise(F.concat(F.lit("A"), F.col("id") % 4)),
+         "ledger_id": F.when(F.col("id") % 13 == 0, F.lit(None)).otherwise(F.lit("L"))}.get(f.name, F.lit("1")).try_cast(f.dataType).alias(f.name)
+        for f in CANONICAL_SCHEMA.fields])
+    ref = V.reference_values(spark, {"segment3_account": ["A0", "A1"], "segment1_entity": ["1"]})
+    for lines in (rows, rows.drop("accounted_cr", "segment3_account"), rows.limit(0)):
+        for reference in (ref, None):
+            want = sorted(map(tuple, V.summary(lines, V.issues(lines, reference)).collect()))
+            assert sorted(map(tuple, V.gate_summary(lines, reference).collect())) == want
