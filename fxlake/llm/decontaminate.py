@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fxlake.llm.text import ALNUM, Words, per_text, slices
+from fxlake.llm.text import ALNUM, Words, per_text, slices, small_batches
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -113,11 +113,13 @@ def scan(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
          window: int = WINDOW, block_bytes: int = BLOCK_BYTES, keep: bool = False) -> DataFrame:
     """Per row: its words, words inside occurrences, the items found and the covered word ranges.
 
-    Returns ``id_col`` (or with ``keep`` all columns of ``documents``, as a
-    struct ``row``) and the columns of ``SCAN_SCHEMA``.
+    Returns ``id_col`` (or with ``keep`` the struct ``row`` of all columns but
+    the text, and ``text``) and the columns of ``SCAN_SCHEMA``.
     """
     spark = documents.sparkSession
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]) if keep else F.struct(F.col(id_col))
+    small_batches(spark)
+    others = [c for c in documents.columns if c != text_col] if keep else [id_col]
+    row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others])
     df = documents.select(row.alias("row"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"),
                           F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("item_ids"),
                           F.array().cast("array<struct<start:int,end:int>>").alias("hit_spans"))
@@ -126,7 +128,7 @@ def scan(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
     for block in parts:
         index = spark.sparkContext.broadcast(build_index(block.toArrow(), window))
 
-        def run(batches, index=index, more=block is not parts[-1]):
+        def run(batches, index=index, more=keep or block is not parts[-1]):
             for b in slices(batches, "text"):
                 counts, _, items, spans = _scan(b, "text", index.value)
                 had_items, had_spans = b.column(4).to_pylist(), b.column(5).to_pylist()
@@ -140,7 +142,8 @@ def scan(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
                 ], schema=b.schema)
 
         df = df.mapInArrow(run, schema)
-    return df.select("row" if keep else F.col(f"row.{id_col}").alias(id_col), "n_words", "n_hit", "item_ids", "hit_spans")
+    first = ["row", "text"] if keep else [F.col("row").getField(id_col).alias(id_col)]
+    return df.select(*first, "n_words", "n_hit", "item_ids", "hit_spans")
 
 
 def contaminated() -> F.Column:
@@ -148,6 +151,7 @@ def contaminated() -> F.Column:
     return (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))
 
 
-def clean(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def clean(documents: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    return scan(documents, benchmark, keep=True, **options).where(~contaminated()).select("row.*")
+    kept = scan(documents, benchmark, text_col=text_col, keep=True, **options).where(~contaminated())
+    return kept.select(*[F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in documents.columns])

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
-from fxlake.llm.text import U64, mix, slices
+from fxlake.llm.text import U64, mix, slices, small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED, DROPOUT, VARIANTS = 17, 0.1, 4
@@ -134,7 +134,7 @@ class PairTable:
         pair = np.array([k for k, _ in found], np.int64)
         joined = np.array([k for _, k in found], np.int32)
         # An open table with few pairs a slot: most look-ups end at the first probe.
-        self.bits = max(10, int(8 * len(pair)).bit_length())
+        self.bits = max(10, int(4 * len(pair)).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.joined = np.full(1 << self.bits, -1, np.int32)
         for k, to in zip(pair.tolist(), joined.tolist()):
@@ -197,22 +197,23 @@ def encode_many(ids: np.ndarray, sizes: np.ndarray, table: PairTable, keys: np.n
         r, c = np.nonzero(np.arange(1, width) < sizes[:, None])
         rank[r, c] = propose(ids[r, c], ids[r, c + 1], place[r, c], keys[r])
         active = np.arange(n)
-        cols = np.arange(width)
-        while True:
+        while len(active):
             at = rank.argmin(axis=1)
             rows = np.arange(len(active))
             live = rank[rows, at] < NONE
             if not live.all():
                 done = ~live
-                out[active[done]], out_sizes[active[done]] = ids[done], sizes[done]
+                out[active[done], :width], out_sizes[active[done]] = ids[done], sizes[done]
                 active, ids, place, rank, sizes, at, keys = (x[live] for x in (active, ids, place, rank, sizes, at, keys))
                 rows = np.arange(len(active))
-            if not len(active):
+            if not len(active) or width == 1:
                 break
             ids[rows, at] = table.join(ids[rows, at], ids[rows, at + 1])
-            shift = np.minimum(cols + (cols > at[:, None]), width - 1)
-            ids, place = np.take_along_axis(ids, shift, 1), np.take_along_axis(place, shift, 1)
-            rank = np.take_along_axis(rank, shift, 1)
+            # Every row loses its right partner, so the arrays get one column narrower.
+            keep = np.ones((len(active), width), bool)
+            keep[rows, at + 1] = False
+            width -= 1
+            ids, place, rank = (x[keep].reshape(len(active), width) for x in (ids, place, rank))
             sizes = sizes - 1
             rank[rows, at] = NONE
             rank[rows, sizes - 1] = NONE
@@ -226,9 +227,9 @@ def encode_many(ids: np.ndarray, sizes: np.ndarray, table: PairTable, keys: np.n
 class Encoder:
     """Encodes texts; remembers short chunks, which changes speed and not results."""
 
-    def __init__(self, vocabulary: Vocabulary, seed: int = SEED, dropout: float = DROPOUT):
+    def __init__(self, vocabulary: Vocabulary, seed: int = SEED, dropout: float = DROPOUT, table: PairTable | None = None):
         self.vocabulary, self.seed, self.threshold = vocabulary, seed, int(dropout * (1 << 20))
-        self.table = PairTable(vocabulary)
+        self.table = table or PairTable(vocabulary)
         self.keys = mix(np.arange(VARIANTS, dtype=U64) + mix(np.array([seed], np.int64).view(U64))).tolist()
         self.known: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
 
@@ -280,10 +281,10 @@ class Encoder:
             variants = (mix(np.arange(len(chunks), dtype=U64) + start) & U64(VARIANTS - 1)).tolist()
             got = [get[v](c) for c, v in zip(chunks, variants)]
             found.append(got)
-            at = -1
-            for _ in range(got.count(None)):
-                at = got.index(None, at + 1)
-                missing.setdefault((chunks[at], variants[at]), []).append((n, at))
+            if None in got:
+                for at, ids in enumerate(got):
+                    if ids is None:
+                        missing.setdefault((chunks[at], variants[at]), []).append((n, at))
         if missing:
             learnt = self._learn([c for c, _ in missing], [v for _, v in missing])
             for ((chunk, variant), places), ids in zip(missing.items(), learnt):
@@ -294,16 +295,14 @@ class Encoder:
         return [None if got is None else b"".join(got) for got in found]
 
 
-_encoders: dict[tuple, Encoder] = {}
+_tables: dict[str, PairTable] = {}
 
 
 def _encoder(vocabulary: Vocabulary, path: str, seed: int, dropout: float) -> Encoder:
-    """One encoder a worker process, so that what it remembers lasts over batches and tasks."""
-    key = (path, seed, dropout)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(vocabulary, seed, dropout)
-    return _encoders[key]
+    """A task's own encoder; only the pair table, which the model fixes, stays in the worker process."""
+    if path not in _tables:
+        _tables[path] = PairTable(vocabulary)
+    return Encoder(vocabulary, seed, dropout, _tables[path])
 
 
 def _lists(ids: list[bytes | None]) -> pa.ListArray:
@@ -320,6 +319,7 @@ def _text(ids: np.ndarray, surface: list[bytes]) -> str:
 def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL, seed: int = SEED,
            dropout: float = DROPOUT) -> DataFrame:
     """``documents`` as a struct ``row`` and ``ids``, an array of integers."""
+    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(load(path))
     df = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col(text_col).alias("text"),
                           F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long")).alias("doc"))
@@ -361,6 +361,7 @@ def round_trip(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``ids_sha256`` is the digest of the ids as little-endian 32-bit integers; a
     null text has null ids, no pieces and no digest.
     """
+    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(load(path))
     df = documents.select(id_col, F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long")).alias("doc"))
     schema = StructType([df.schema[id_col]]).add("n_pieces", "long").add("ids_sha256", "string").add("lossless", "boolean")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from fxlake.llm.text import NOT_SPACE, U64, Words, mix, per_text, slices
+from fxlake.llm.text import NOT_SPACE, U64, Words, mix, per_text, slices, small_batches
 
 BUCKETS = 1 << 16
 SAMPLE_PER_CLASS = 1500
@@ -92,6 +92,7 @@ def _sparse_rows(batches):
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         sample_per_class: int = SAMPLE_PER_CLASS) -> Model | None:
     """The model of a bounded sample of labelled rows; None if a class has no rows."""
+    small_batches(documents.sparkSession)
     known = (labels.select(F.col("doc_id").alias("_id"), "quality").where("_id is not null and quality is not null")
              .groupBy("_id").agg(F.min("quality").alias("good")))
     order = F.xxhash64("_id")
@@ -184,26 +185,38 @@ def base_counts(words: Words, texts: list[str | None]) -> dict[str, np.ndarray]:
             "n_dup_lines": np.array(dup, np.int64), "n_repeat_words": per_text(np.cumsum(cover[:-1]) > 0, words.bounds)}
 
 
-def judge(documents: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """``documents`` as a struct ``row``, the base counts, ``base_failed``, ``p_good`` and ``kept``."""
+def _judged(text: pa.Array, fitted: Model | None) -> list[pa.Array]:
+    """The columns of ``_SCHEMA`` for an array of texts."""
+    words = Words(text, NOT_SPACE, lower=False)
+    counts = base_counts(words, text.to_pylist())
+    failed = (counts["n_words"] < MIN_WORDS) | (100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"])
+    p = fitted.probability(margins(words, fitted)) if fitted else np.ones(len(text))
+    return [*(pa.array(counts[c], pa.int64()) for c in COUNTS), pa.array(failed), pa.array(p), pa.array(~failed & (p >= KEEP_AT))]
+
+
+def judge(documents: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: ``id_col``, the base counts, ``base_failed``, ``p_good`` and ``kept``."""
+    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    df = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col(text_col).alias("text"))
+    df = documents.select(id_col, F.col(text_col).alias("text"))
+    schema = StructType([df.schema[id_col], *StructType.fromDDL(_SCHEMA).fields])
 
     def run(batches):
-        fitted = shared.value
         for b in slices(batches, "text"):
-            words = Words(b.column(1), NOT_SPACE, lower=False)
-            counts = base_counts(words, b.column(1).to_pylist())
-            failed = (counts["n_words"] < MIN_WORDS) | (100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"])
-            p = fitted.probability(margins(words, fitted)) if fitted else np.ones(b.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), *(pa.array(counts[c], pa.int64()) for c in COUNTS), pa.array(failed), pa.array(p),
-                 pa.array(~failed & (p >= KEEP_AT))],
-                ["row", *COUNTS, "base_failed", "p_good", "kept"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *_judged(b.column(1), shared.value)], schema.names)
 
-    return df.mapInArrow(run, StructType([df.schema["row"], *StructType.fromDDL(_SCHEMA).fields]))
+    return df.mapInArrow(run, schema)
 
 
-def clean(documents: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def clean(documents: DataFrame, labels: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The documents that the rules and the model keep, with all their columns."""
-    return judge(documents, fit(documents, labels), **options).where("kept").select("row.*")
+    shared = documents.sparkSession.sparkContext.broadcast(fit(documents, labels, text_col=text_col, **options))
+    at = documents.columns.index(text_col)
+    # Names may clash in any way: columns go by place.
+    plain = documents.toDF(*[f"c{k}" for k in range(len(documents.columns))])
+
+    def run(batches):
+        for b in slices(batches, f"c{at}"):
+            yield b.filter(_judged(b.column(at), shared.value)[-1])
+
+    return plain.mapInArrow(run, plain.schema).toDF(*documents.columns)

@@ -33,9 +33,9 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = _read(spark, sf_dir, "documents")
     judged = quality.judge(documents, quality.fit(documents, _read(spark, sf_dir, "labels")))
-    return judged.select("row.doc_id", *quality.COUNTS, "base_failed", "kept")
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,9 +13,19 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 U64 = np.uint64
+
+ROWS_PER_BATCH = 2000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark) -> None:
+    """Lower the session's rows per Arrow batch: the default of 10,000 means tens of MB of text in each buffer of each task."""
+    if not 0 < int(spark.conf.get(_ROWS)) <= ROWS_PER_BATCH:
+        spark.conf.set(_ROWS, str(ROWS_PER_BATCH))
+
 _P, _Q = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
