@@ -77,7 +77,7 @@ def fan_out(lines: DataFrame, geos: list[str], sources: list[str]) -> DataFrame:
 
     Adds ``geo`` and ``is_fallback``. No cross join: a line with no geo tag is
     expanded over the (parameter) geo list by ``explode``; fallback pairs are a
-    table of at most batches x sources x geos rows, size-checked and broadcast.
+    table of at most batches x sources x geos rows, whose size Spark knows.
     """
     geo_arr = F.array(*[F.lit(g) for g in geos])
     # A line's own geo is its tag; the assigned geo replaces any ``geo`` column.
@@ -93,8 +93,8 @@ def fan_out(lines: DataFrame, geos: list[str], sources: list[str]) -> DataFrame:
     missing = (cover.withColumn("_missing", F.when(F.col("_any_untagged") == 1, F.array().cast("array<string>"))
                                             .otherwise(F.array_except(geo_arr, F.col("_tags"))))
                     .select("batch_id", "ledger_source", F.explode("_missing").alias("geo")))
-    # Written once (at most batches x sources x geos rows), so the size check and
-    # the broadcast read the small table instead of re-aggregating every line.
+    # Written once (at most batches x sources x geos rows): the join reads the small
+    # table, of known size, instead of re-aggregating every line.
     missing = stage_table(missing, "fanout-pairs")
     fallback = (src.join(missing, ["batch_id", "ledger_source"])
                    .withColumn("is_fallback", F.lit(True)))

@@ -1,23 +1,8 @@
-"""Join helpers."""
+"""Scan helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Largest dimension broadcast by an explicit hint (rows). Above it the join
-# falls back to a shuffle join, which AQE may still turn into a broadcast.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows of the (small) dimension.
-    Beyond the bound the frame is returned as is and Spark plans a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def default_parallelism(spark) -> int:
