@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from fxlake.llm.marks import is_marked
+from fxlake.llm.text import small_batches
 from fxlake.session import stage_table
 
 MIN_POINTS = 40
@@ -121,6 +123,7 @@ def keep_bitmaps(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``keep_bitmap`` is zlib-compressed, one bit a line, most significant bit
     first. Documents without a row keep every line.
     """
+    small_batches(documents.sparkSession)
     rows = documents.select(_doc_key(id_col).alias("doc"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
     keys = stage_table(rows.mapInArrow(_keys, _LINE), "line-keys")
     ordered = (keys.repartitionByRange("key", F.col("doc").desc())
@@ -148,7 +151,7 @@ def keep_bitmaps(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
                                               pa.array(maps, pa.binary())],
                                              ["doc", "row", "n_lines", "n_dropped", "keep_bitmap"])
 
-    return per_doc.mapInArrow(pack, "doc long, row long, n_lines int, n_dropped int, keep_bitmap binary")
+    return stage_table(per_doc.mapInArrow(pack, "doc long, row long, n_lines int, n_dropped int, keep_bitmap binary"), "bitmaps")
 
 
 def keep_flags(bitmap: bytes, n_lines: int) -> np.ndarray:
@@ -160,7 +163,11 @@ def apply_bitmaps(documents: DataFrame, bitmaps: DataFrame, id_col: str = "doc_i
     maps = bitmaps.select(F.col("doc").alias("_d"), F.col("row").alias("_r"), "n_dropped", "keep_bitmap")
     body = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != text_col]).alias("row"),
                             F.col(text_col).alias("text"), _doc_key(id_col).alias("_doc"), F.xxhash64(text_col).alias("_row"))
-    joined = (body.join(maps, (F.col("_doc") == F.col("_d")) & (F.col("_row") == F.col("_r")), "left")
+    # Texts that lose nothing stay where they are; the others meet their bitmaps.
+    marked = is_marked(bitmaps.select("doc", "row"))("_doc", "_row")
+    met = body.where(marked).join(maps, (F.col("_doc") == F.col("_d")) & (F.col("_row") == F.col("_r")), "left")
+    whole = body.where(~marked).withColumns({"n_dropped": F.lit(None).cast("int"), "keep_bitmap": F.lit(None).cast("binary")})
+    joined = (met.select(*whole.columns).union(whole)
               .select("row", "text", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), "keep_bitmap"))
     schema = joined.select("row", "text", F.lit(0).cast("long").alias("n_lines"), "n_dropped").schema
 
