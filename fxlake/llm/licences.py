@@ -3,8 +3,9 @@
 Two kinds of whole texts are looked up: the document and each of its lines. The
 canonical form lower-cases A-Z, drops copyright lines, replaces equivalent
 spellings and turns every run of other characters into one space. A text is
-only normalised when it holds a word that every known text holds one of
-(``TRIGGERS``, checked against the table), so ordinary text is not rewritten.
+only normalised when it holds one of ``TRIGGERS``: runs of letters that
+normalisation neither splits nor makes, and of which every known canonical text
+holds one (checked), so ordinary text is not rewritten.
 
 Cases: null and empty texts hold nothing; repeated rows are answered each; a
 line or document that differs from a known text in any canonical word is no
@@ -13,6 +14,9 @@ hit; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Licence notices as their licensors publish them.
@@ -66,7 +70,8 @@ SPELLINGS = [
     ("non commercial", "noncommercial"), ("non infringement", "noninfringement"), ("share alike", "sharealike"),
     ("copyright owner", "copyright holder"), ("copyright owners", "copyright holders"), ("per cent", "percent"), ("v 2 0", "version 2 0"),
 ]
-TRIGGERS = ["licen", "permission", "rights reserved"]
+# Each within one word, so no spacing, punctuation or line break splits it.
+TRIGGERS = ["licen", "permission", "reserved"]
 COPYRIGHT = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -89,18 +94,22 @@ def digest(text: Column) -> Column:
 
 def may_hold(text: Column) -> Column:
     low = F.translate(text, UPPER, LOWER)
-    found = [F.contains(low, F.lit(t)) for t in TRIGGERS]
-    return found[0] | found[1] | found[2]
+    return reduce(lambda a, b: a | b, [F.contains(low, F.lit(t)) for t in TRIGGERS])
 
 
 def known_digests(spark, known: dict[str, list[str]] = KNOWN) -> DataFrame:
     """(digest, licence) of the known texts."""
+    for t in TRIGGERS:
+        made = [new for old, new in SPELLINGS if any(t in w for w in new.split()) and not any(t in w for w in old.split())]
+        if not re.fullmatch("[a-z0-9]+", t) or made:
+            raise ValueError(f"the trigger {t!r} is not one run of letters and digits that every spelling keeps")
     rows = [(name, text) for name, texts in known.items() for text in texts]
-    for name, text in rows:
-        if not any(t in text.lower() for t in TRIGGERS):
+    table = spark.createDataFrame(rows, "licence string, text string").withColumn("form", canonical(F.col("text")))
+    # What canonical() drops is no trigger of a text. The known texts are a short list.
+    for name, form in table.select("licence", "form").collect():
+        if not any(t in form for t in TRIGGERS):
             raise ValueError(f"a text of {name} holds none of TRIGGERS")
-    table = spark.createDataFrame(rows, "licence string, text string")
-    return table.select(digest(F.col("text")).alias("digest"), "licence").distinct()
+    return table.select(F.sha2("form", 256).alias("digest"), "licence").distinct()
 
 
 def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: dict[str, list[str]] = KNOWN) -> DataFrame:

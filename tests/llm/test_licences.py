@@ -1,3 +1,5 @@
+import pytest
+
 from fxlake.llm import licences
 from tests.llm.conftest import make, prose
 
@@ -21,3 +23,16 @@ def test_cases(spark, awkward):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_triggers_survive_spacing_and_punctuation(spark):
+    documents = [(1, "All  rights  reserved."), (2, "x\nALL RIGHTS\tRESERVED\ny"), (3, "all-rights-reserved"), (4, "All rights\nreserved.")]
+    name = "All-Rights-Reserved"
+    assert run(spark, documents) == sorted([(1, name, 1, name), (2, None, 1, name), (3, name, 1, name), (4, name, 0, name)], key=str)
+
+
+@pytest.mark.parametrize("trigger", ["rights reserved", "favor"])
+def test_triggers_that_normalisation_changes_are_refused(spark, monkeypatch, trigger):
+    monkeypatch.setattr(licences, "TRIGGERS", [*licences.TRIGGERS, trigger])
+    with pytest.raises(ValueError):
+        licences.known_digests(spark)
