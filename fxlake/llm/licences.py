@@ -16,10 +16,11 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Licence notices as their licensors publish them.
+# Notices and whole licence texts; the README lists what is covered.
 KNOWN = {
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
@@ -45,6 +46,13 @@ KNOWN = {
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
         "provided that the above copyright notice and this permission notice appear in all copies.",
+        *[title + "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+          "provided that the above copyright notice and this permission notice appear in all copies. "
+          'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED '
+          "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+          "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+          "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+          for title in ("", "ISC License ")],
     ],
     "GPL-3.0-only": [
         "This work is licensed under the GNU General Public License, version 3.",
@@ -62,6 +70,44 @@ KNOWN = {
     ],
     "All-Rights-Reserved": ["All rights reserved."],
 }
+_MIT = KNOWN["MIT"][2].removeprefix("MIT License ")
+KNOWN["MIT"] += [title + _MIT for title in ("", "The MIT License ", "The MIT License (MIT) ")]
+
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+        "the following disclaimer in the documentation and/or other materials provided with the distribution. ")
+_BSD_3 = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+          "derived from this software without specific prior written permission. ")
+_BSD_END = ('THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, '
+            "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT "
+            "SHALL THE COPYRIGHT {holder} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR "
+            "CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR "
+            "PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+            "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+            "POSSIBILITY OF SUCH DAMAGE.")
+# With and without title, a line of reserved rights and numbers (bullets vanish in the canonical form).
+for _name, _body in (("BSD-2-Clause", _BSD), ("BSD-3-Clause", _BSD + _BSD_3)):
+    KNOWN[_name] = [title + rights + body + _BSD_END.format(holder=holder)
+                    for title in ("", _name.replace("-", " ", 1) + " License ") for rights in ("", "All rights reserved. ")
+                    for body in (_body, re.sub(r"\b[123]\. ", "* ", _body)) for holder in ("HOLDER", "HOLDERS")]
+
+
+def _published() -> dict[str, list[str]]:
+    """The licences of ``texts``: as published, which drops wrapped lines that begin like a copyright line, and unwrapped;
+    Apache-2.0 without its appendix, too."""
+    out = {}
+    for path in sorted((Path(__file__).parent / "texts").glob("*.txt")):
+        whole = path.read_text(encoding="utf-8")
+        cuts = [whole, whole.split("APPENDIX:")[0]] if "APPENDIX:" in whole else [whole]
+        out[path.stem] = [form for cut in cuts for form in (cut, " ".join(cut.split()))]
+    return out
+
+
+for _name, _texts in _published().items():
+    KNOWN.setdefault(_name, []).extend(_texts)
+KNOWN["MPL-2.0"] += ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+                     f"distributed with this file, You can obtain one at {scheme}://mozilla.org/MPL/2.0/." for scheme in ("http", "https")]
 # Spellings that count as equal.
 SPELLINGS = [
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sublicence", "sublicense"),
@@ -71,7 +117,7 @@ SPELLINGS = [
     ("copyright owner", "copyright holder"), ("copyright owners", "copyright holders"), ("per cent", "percent"), ("v 2 0", "version 2 0"),
 ]
 # Each within one word, so no spacing, punctuation or line break splits it.
-TRIGGERS = ["licen", "permission", "reserved"]
+TRIGGERS = ["licen", "permission", "reserved", "redistribution"]
 COPYRIGHT = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 
 from fxlake.llm import licences
@@ -36,3 +38,16 @@ def test_triggers_that_normalisation_changes_are_refused(spark, monkeypatch, tri
     monkeypatch.setattr(licences, "TRIGGERS", [*licences.TRIGGERS, trigger])
     with pytest.raises(ValueError):
         licences.known_digests(spark)
+
+
+def test_whole_licence_texts(spark):
+    cargo = "Copyright (c) 2020, Someone\n\n"
+    mit = licences.KNOWN["MIT"][2].removeprefix("MIT License ")
+    bsd = licences.KNOWN["BSD-2-Clause"][0]
+    names = ["Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0"]
+    texts = {n: (Path(licences.__file__).parent / "texts" / f"{n}.txt").read_text() for n in names}
+    documents = [(k, texts[n]) for k, n in enumerate(names)] + [(10 + k, " ".join(texts[n].upper().split())) for k, n in enumerate(names)]
+    documents += [(20, cargo + mit), (21, cargo + bsd), (22, cargo + bsd[:-30]), (23, cargo + licences.KNOWN["ISC"][1])]
+    got = {d: whole for d, whole, _, _ in run(spark, documents)}
+    assert [got[k] for k in range(6)] == [got[10 + k] for k in range(6)] == names
+    assert [got[k] for k in (20, 21, 22, 23)] == ["MIT", "BSD-2-Clause", None, "ISC"]
