@@ -3,7 +3,7 @@
 Pages that point to one another by a canonical link or a redirect are aliases.
 Connected components over those edges carry a block decision to every alias; a
 page that a rule allows stays allowed. All of it is DataFrame work; HTML is
-read in one scan that keeps two short strings a page.
+read in one scan that keeps the targets of a page's links.
 
 Cases: a url that is null or has no ``://`` has an empty host and path and fits
 no rule; a null page has no links; links that resolve to no host are left out;
@@ -24,7 +24,7 @@ _TAG = r"""(?is)<{tag}\b[^>]*?\b{key}\s*=\s*["']?{value}\b[^>]*>"""
 CANONICAL = _TAG.format(tag="link", key="rel", value="canonical")
 REFRESH = _TAG.format(tag="meta", key="http-equiv", value="refresh")
 HREF = r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-TARGET = r"""(?is)\burl\s*=\s*["']?([^"'>\s;]+)"""
+TARGET = r"""(?is)\burl\s*=\s*["']?([^"'>\s]+)"""
 
 
 def after_scheme(url: Column) -> Column:
@@ -50,30 +50,46 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]] = RULES) ->
     return out
 
 
+def clear_path(path: Column) -> Column:
+    """``path`` without ``.`` and ``..`` segments."""
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(F.split(path, "/"), none, lambda acc, part: F.when(part == ".", acc).when(
+        part == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(F.concat(acc, F.array(part))))
+    tail = F.when(path.rlike(r"/\.\.?$"), "/").otherwise("")
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.array_join(kept, "/"), tail)).otherwise(path)
+
+
 def page_key(host: Column, path: Column) -> Column:
-    """The node of a page: host and path, without query, fragment and closing slashes."""
-    return F.when(host != "", F.concat(host, F.regexp_replace(path, "/+$", "")))
+    """The node of a page: host and path, without dot segments, query, fragment and closing slashes."""
+    return F.when(host != "", F.concat(host, F.regexp_replace(clear_path(path), "/+$", "")))
 
 
-def resolve(link: Column, host: Column) -> Column:
-    """The absolute form of a link from a page of ``host``; null where it can't be told."""
-    return (F.when(F.instr(link, "://") > 0, link).when(link.startswith("//"), F.concat(F.lit("http:"), link))
-            .when(link.startswith("/"), F.concat(F.lit("http://"), host, link)))
+def resolve(link: Column, url: Column) -> Column:
+    """The absolute form of a link from the page at ``url``; null where it can't be told (mailto: and the like, pages without a host)."""
+    host, path = host_of(url), path_of(url)
+    scheme = F.regexp_extract(url, "^(.*?)://", 1)
+    root = F.when(host != "", F.concat(scheme, F.lit("://"), host))
+    folder = F.coalesce(F.nullif(F.regexp_extract(path, "^.*/", 0), F.lit("")), F.lit("/"))
+    return (F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link).when(link.startswith("//"), F.concat(F.when(scheme != "", scheme).otherwise("http"), F.lit(":"), link))
+            .when(link.startswith("/"), F.concat(root, link)).when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+            .when(link.rlike("^[?#]"), F.concat(root, path, link)).otherwise(F.concat(root, folder, link)))
 
 
 def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html",
                rules: list[tuple[str, str]] = RULES) -> DataFrame:
-    """(a, b, verdict): the node of a page and of its canonical link or redirect, and the rules' verdict on the latter."""
+    """(a, b, verdict): the node of a page and of each of its canonical links and redirects, and the rules' verdict on the latter."""
     html, url = F.coalesce(F.col(html_col), F.lit("")), F.col(url_col)
     low = F.translate(html, UPPER, LOWER)
-    canonical = F.when(F.contains(low, F.lit("canonical")), F.regexp_extract(html, CANONICAL, 0))
-    refresh = F.when(F.contains(low, F.lit("refresh")), F.regexp_extract(html, REFRESH, 0))
-    href = F.concat(*[F.regexp_extract(canonical, HREF, k) for k in (1, 2, 3)])
-    links = pages.select(host_of(url).alias("host"), path_of(url).alias("path"),
-                         F.explode(F.filter(F.array(F.trim(href), F.regexp_extract(refresh, TARGET, 1)), lambda x: x != "")).alias("link"))
-    far = resolve(F.col("link"), F.col("host"))
-    return (links.select(page_key(F.col("host"), F.col("path")).alias("a"), page_key(host_of(far), path_of(far)).alias("b"),
-                         rule_of(host_of(far), path_of(far), rules)["verdict"].alias("verdict"))
+    none = F.array().cast("array<string>")
+    canonical = F.when(F.contains(low, F.lit("canonical")), F.regexp_extract_all(html, F.lit(CANONICAL), F.lit(0))).otherwise(none)
+    refresh = F.when(F.contains(low, F.lit("refresh")), F.regexp_extract_all(html, F.lit(REFRESH), F.lit(0))).otherwise(none)
+    found = F.concat(F.transform(canonical, lambda tag: F.trim(F.concat(*[F.regexp_extract(tag, HREF, k) for k in (1, 2, 3)]))),
+                     F.transform(refresh, lambda tag: F.regexp_extract(tag, TARGET, 1)))
+    links = pages.select(url.alias("url"), F.explode(F.array_distinct(F.filter(found, lambda x: x != ""))).alias("link"))
+    far = links.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), resolve(F.col("link"), F.col("url")).alias("far"))
+    ends = far.select("host", "path", host_of(F.col("far")).alias("far_host"), clear_path(path_of(F.col("far"))).alias("far_path"))
+    return (ends.select(page_key(F.col("host"), F.col("path")).alias("a"), page_key(F.col("far_host"), F.col("far_path")).alias("b"),
+                        rule_of(F.col("far_host"), F.col("far_path"), rules)["verdict"].alias("verdict"))
             .where("a is not null and b is not null and a <> b").distinct())
 
 

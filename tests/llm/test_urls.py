@@ -47,3 +47,22 @@ def test_hot_hub_and_long_chain(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == {}
+
+
+def test_relative_links(spark):
+    def edges(*tags, url="https://a.net/x/y/page.html?q=1"):
+        frame = spark.createDataFrame([(url, "".join(tags))], "url string, html string")
+        return sorted(r.b for r in urls.link_edges(frame).collect())
+
+    assert edges(link("other.html")) == ["a.net/x/y/other.html"]
+    assert edges(link("../new"), link("./../../../z/./w/..")) == ["a.net/x/new", "a.net/z"]
+    assert edges(link("?p=2"), link("#top"), link("mailto:a@b.c"), link("")) == []
+    assert edges(refresh("/r;s=1"), refresh("next?u=http://b.net/"), link("//c.net/d/../e")) == ["a.net/r;s=1", "a.net/x/y/next", "c.net/e"]
+    assert edges(link("one"), url="http://a.net") == ["a.net/one"]
+    assert edges(link("one"), url="no host") == []
+
+
+def test_a_block_reaches_relative_aliases(spark):
+    got = run(spark, [(1, "http://a.net/d/1", link("2")), (2, "http://a.net/d/2", refresh("../3;v=1")), (3, "http://a.net/3;v=1", link("http://b.net/") + link("http://x.com/de/9")),
+                      (4, "http://a.net/d/4", None), (5, "http://b.net/", None)])
+    assert [got[k][3] for k in range(1, 6)] == ["block", "block", "block", "allow", "block"]
