@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fxlake.llm import decontaminate, jaccard, licences, lines, lm, pieces, pii, quality, secrets, urls
+from fxlake.llm import decontaminate, jaccard, licences, lines, lm, manifest, periods, pieces, pii, quality, secrets, topk, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,6 +65,35 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text after the planted repeats, and the digest of the text without them."""
+    found = periods.find_runs(periods.plant_repeats(_read(spark, sf_dir, "documents")))
+    line = lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))
+    text = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = found.withColumn("best", periods.strongest(F.col("runs")))
+    return best.select("row.doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(text, 256).alias("runs_sha256"),
+                       F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A proof for every leaf, and the root that it gives with the row as it is now: a third of the texts were lower-cased."""
+    documents = _read(spark, sf_dir, "documents")
+    tampered = [F.translate("text", _AZ, _AZ.lower()) if c == "text" else F.col(c) for c in manifest.FIELDS]
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tree = manifest.build(documents, keep={"tampered": F.when(changed, manifest.leaf_digest(tampered))})
+    folded = manifest.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return (manifest.prove(tree).withColumn("folded_root", folded)
+            .select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(F.array_join(manifest.siblings(F.col("path")), ""), 256).alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _read(spark, sf_dir, "embeddings")
+    return topk.search(embeddings, embeddings.where(F.col("vec_id") % 50 == 0))
+
+
+_AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP2_SQL = rf"""
@@ -174,9 +203,86 @@ SELECT page_id, host, path, rule, coalesce(own, CASE WHEN node IN (SELECT node F
 """
 
 
+#: crc32 of the decimal id, bit by bit.
+_CRC = """xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda k: ascii(substr(doc_id::VARCHAR, k::INT, 1))::BIGINT),
+ lambda a, b: list_reduce([xor(a, b)] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)), 4294967295)"""
+
+OP11_SQL = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_CRC} AS h FROM documents),
+g AS (SELECT *, CAST(len(w) AS BIGINT) AS n, h // 10 AS g FROM w),
+p AS (SELECT doc_id, n, w, h % 10 = 0 AND n > 0 AS hit, CASE WHEN n > 0 THEN g % n END AS a, CASE WHEN n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM g),
+d AS (SELECT doc_id, n, CASE WHEN hit THEN list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE w END AS w FROM p),
+f AS (SELECT doc_id, n, k, array_to_string(w[k + 1:k + 5], ' ') AS five FROM (SELECT doc_id, n, w, unnest(range(n - 4)) AS k FROM d WHERE n > 5)),
+eq AS (SELECT x.doc_id, x.k, y.k - x.k AS q FROM f x JOIN f y ON x.doc_id = y.doc_id AND x.five = y.five AND y.k > x.k AND 4 * (y.k - x.k) <= x.n),
+isle AS (SELECT doc_id, q, min(k) AS s, count(*) + 4 + q AS size
+         FROM (SELECT *, k - row_number() OVER (PARTITION BY doc_id, q ORDER BY k) AS part FROM eq) GROUP BY doc_id, q, part),
+r AS (SELECT doc_id, s, size, min(q) AS q FROM isle WHERE size >= greatest(6, 4 * q) GROUP BY doc_id, s, size),
+best AS (SELECT doc_id, s, size, q FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY size::DOUBLE / q DESC, s, q) = 1),
+runs AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || size || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM r GROUP BY doc_id),
+lost AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + size)) AS k FROM r),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY k) AS t FROM
+         (SELECT doc_id, unnest(range(n)) AS k, unnest(w) AS x FROM d) ANTI JOIN lost USING (doc_id, k) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, size AS length, q AS period, 1000 * size // q AS exponent_milli,
+       sha256(coalesce(runs.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN runs USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _leaf_sql(text: str) -> str:
+    part = lambda x: f"coalesce(octet_length(encode({x}::VARCHAR)) || ':' || {x}, '-')"
+    return "sha256(%s)" % " || ".join(part(text if c == "text" else c) for c in manifest.FIELDS)
+
+
+def _tree_sql(name: str, base: str) -> str:
+    """Levels over ``base`` (grp, idx, digest), one row a node; ``n`` counts the nodes of its level."""
+    return f"""
+{name}(grp, level, idx, digest, n) AS (
+  SELECT grp, 0, idx, digest, count(*) OVER (PARTITION BY grp) FROM {base}
+  UNION ALL
+  SELECT grp, any_value(level) + 1, idx // 8, sha256(string_agg(digest, '' ORDER BY idx)), (any_value(n) + 7) // 8
+  FROM {name} WHERE n > 1 GROUP BY grp, idx // 8)"""
+
+
+OP12_SQL = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, lang, {_leaf_sql('text')} AS leaf,
+    CASE WHEN {_CRC} % 3 = 0 THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered FROM documents),
+leaves AS (SELECT *, coalesce('1' || lang, '0') AS grp, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM docs),
+low AS (SELECT grp, idx, leaf AS digest FROM leaves),
+{_tree_sql('tree', 'low')},
+subs AS (SELECT grp, digest, level, row_number() OVER (ORDER BY grp) - 1 AS place FROM tree WHERE n = 1),
+high AS (SELECT 0 AS grp, place AS idx, digest FROM subs),
+{_tree_sql('top', 'high')},
+steps AS (
+  SELECT l.doc_id, l.leaf, l.grp, t.level AS step, t.idx, l.idx // CAST(8 ** t.level AS BIGINT) AS own, t.digest
+  FROM leaves l JOIN tree t ON t.grp = l.grp AND t.n > 1 AND t.idx // 8 = l.idx // CAST(8 ** (t.level + 1) AS BIGINT)
+  UNION ALL
+  SELECT l.doc_id, l.leaf, l.grp, s.level + t.level, t.idx, s.place // CAST(8 ** t.level AS BIGINT), t.digest
+  FROM leaves l JOIN subs s ON s.grp = l.grp JOIN top t ON t.n > 1 AND t.idx // 8 = s.place // CAST(8 ** (t.level + 1) AS BIGINT)),
+sides AS (SELECT doc_id, step, coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx < own), '') AS before,
+                 coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx > own), '') AS after FROM steps GROUP BY doc_id, step),
+proofs AS (SELECT doc_id, string_agg(before || after, '' ORDER BY step) AS proof FROM sides GROUP BY doc_id),
+folds(doc_id, step, digest) AS (
+  SELECT doc_id, 0, coalesce(tampered, leaf) FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.step + 1, sha256(s.before || f.digest || s.after) FROM folds f JOIN sides s ON s.doc_id = f.doc_id AND s.step = f.step),
+ends AS (SELECT doc_id, arg_max(digest, step) AS digest FROM folds GROUP BY doc_id)
+SELECT l.doc_id, l.leaf, s.digest AS subroot, r.digest AS root, sha256(coalesce(p.proof, '')) AS proof_sha256, e.digest AS folded_root,
+       e.digest = r.digest AS verified
+FROM leaves l JOIN subs s USING (grp) JOIN (SELECT digest FROM top WHERE n = 1) r ON true LEFT JOIN proofs p ON p.doc_id = l.doc_id JOIN ends e ON e.doc_id = l.doc_id
+"""
+
+OP13_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.w) + 1), lambda i: q.w[i] * c.w[i])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
 QUERIES = {f.__name__: f for f in (op1_pii_spans, op2_decontaminate, op3_lm_score, op4_url_filter, op5_quality_rules, op6_jaccard_join,
-                                   op7_sentencepiece, op8_line_dedup, op9_licence_scan, op10_secret_scan)}
+                                   op7_sentencepiece, op8_line_dedup, op9_licence_scan, op10_secret_scan, op11_periods, op12_manifest, op13_topk)}
 
 #: None for operators with a trained model (1, 3, 5, 10) or a tokenizer (7): tests hold those against brute force.
 ORACLES = {"op2_decontaminate": OP2_SQL, "op4_url_filter": _url_sql(), "op6_jaccard_join": OP6_SQL, "op8_line_dedup": OP8_SQL,
-           "op9_licence_scan": _licence_sql()}
+           "op9_licence_scan": _licence_sql(), "op11_periods": OP11_SQL, "op12_manifest": OP12_SQL, "op13_topk": OP13_SQL}
