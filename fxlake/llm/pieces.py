@@ -4,11 +4,13 @@ The vocabulary of a merge-type model (its path is a parameter) is read on the
 driver and broadcast; it has a fixed size. A text is cut where no piece can
 reach over: before each run of spaces and around newlines. Within a chunk an
 agenda merges the best adjacent pair first; each candidate merge is skipped
-when a keyed hash of (seed, variant, pair, place) falls under ``dropout``. The
-variant of a chunk is a keyed hash of seed, document and place, so equal words
-get different segmentations while the whole is reproducible. Characters that
-the model lacks become byte pieces, a literal U+2581 too, so decoding gives the
-text back exactly.
+when a keyed hash of (seed, document, place of the chunk, pair, place in the
+chunk) falls under ``dropout``, so every occurrence of a word is segmented on
+its own while the whole is reproducible. Characters that the model lacks become
+byte pieces, a literal U+2581 too, so decoding gives the text back exactly.
+
+Chunks of up to ``WIDTHS[-1]`` symbols are merged many at a time as rows of
+arrays, longer ones by the agenda itself; both give the same pieces.
 
 Cases: a null text stays null; an empty text has the pieces of the leading
 space that every text gets; a null id counts as the id -1 for the hash;
@@ -19,23 +21,22 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import re
-from array import array
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
-from fxlake.llm.text import U64, mix, slices, small_batches
+from fxlake.llm.text import U64, buffer, mix, slices, small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SEED, DROPOUT, VARIANTS = 17, 0.1, 4
+SEED, DROPOUT = 17, 0.1
 SPACE = "▁"
-CHUNK = re.compile(r"\n| *[^ \n]+| +")
-REMEMBER, SHORT = 400_000, 40
+#: Widths of the arrays that chunks are merged in, and cells of one such array.
+WIDTHS, ROW_CELLS = (5, 8, 12, 18, 40, 96), 1 << 18
+#: Bytes of text worked through at once; one text is never cut.
+SLICE = 1 << 19
 
 
 @dataclass
@@ -44,6 +45,7 @@ class Vocabulary:
     rank: dict[int, float]
     byte_ids: list[int]
     surface: list[bytes]
+    piece: dict[int, str]
 
 
 def load(path: str = MODEL) -> Vocabulary:
@@ -64,28 +66,26 @@ def load(path: str = MODEL) -> Vocabulary:
             surface.append(piece.replace(SPACE, " ").encode())
     if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in ids):
         raise ValueError("a piece reaches over a space or a newline: chunks would not be independent")
-    return Vocabulary(ids, rank, byte_ids, surface)
+    return Vocabulary(ids, rank, byte_ids, surface, {k: p for p, k in ids.items()})
 
 
-def _symbols(chunk: str, vocabulary: Vocabulary) -> tuple[list[int], list[str | None]]:
-    """Ids of single characters and the strings that may merge (None for bytes)."""
-    ids, strings = [], []
+def symbols_of(chunk: str, vocabulary: Vocabulary) -> list[int]:
+    """Ids of single characters, and of the bytes of characters that the model lacks."""
+    out = []
     for c in chunk:
-        s = SPACE if c == " " else c
-        k = None if c == SPACE else vocabulary.ids.get(s)
-        if k is None:
-            data = c.encode()
-            ids.extend(vocabulary.byte_ids[x] for x in data)
-            strings.extend([None] * len(data))
-        else:
-            ids.append(k)
-            strings.append(s)
-    return ids, strings
+        k = None if c == SPACE else vocabulary.ids.get(SPACE if c == " " else c)
+        out.extend([k] if k is not None else [vocabulary.byte_ids[x] for x in c.encode()])
+    return out
 
 
 def encode_chunk(chunk: str, vocabulary: Vocabulary, key: int, threshold: int) -> list[int]:
+    return merge_symbols(symbols_of(chunk, vocabulary), vocabulary, key, threshold)
+
+
+def merge_symbols(ids: list[int], vocabulary: Vocabulary, key: int, threshold: int) -> list[int]:
     """Merge the best pair first; skip a candidate when its keyed hash is below ``threshold`` of 2^20."""
-    ids, strings = _symbols(chunk, vocabulary)
+    ids = list(ids)
+    strings = [vocabulary.piece.get(k) for k in ids]
     n = len(ids)
     pieces, rank = vocabulary.ids, vocabulary.rank
     after = list(range(1, n + 1))
@@ -176,27 +176,40 @@ class PairTable:
 NONE = 1 << 30
 
 
-def encode_many(ids: np.ndarray, sizes: np.ndarray, table: PairTable, keys: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """``encode_chunk`` for many chunks at once. ids: a row of characters each, padded; keys: one a row. Returns rows and sizes."""
+def _skipped(key: np.ndarray, left: np.ndarray, right: np.ndarray, at: np.ndarray, threshold: int) -> np.ndarray:
+    """Whether each candidate merge is skipped: the same keyed hash as in ``encode_chunk``."""
+    h = (key ^ (left.astype(U64) * U64(0x9E3779B1)) ^ (right.astype(U64) * U64(0x85EBCA77))
+         ^ (at.astype(U64) * U64(0xC2B2AE3D))) * U64(0x27D4EB2F165667C5)
+    return ((h >> U64(29)) ^ (h >> U64(43))) & U64(0xFFFFF) < U64(threshold)
+
+
+def encode_many(ids: np.ndarray, sizes: np.ndarray, table: PairTable, keys: np.ndarray | None = None, threshold: int = 0,
+                seen: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``encode_chunk`` for many chunks at once. ids: a row of symbols each, padded; keys: one a row. Returns rows and sizes.
+
+    ``seen`` receives every candidate that came up, as arrays of row, left, right and place.
+    """
     n, width = ids.shape
     ids = ids.copy()
     place = np.broadcast_to(np.arange(width, dtype=np.int32), ids.shape).copy()
     out, out_sizes = ids.copy(), sizes.copy()
+    active = np.arange(n)
 
-    def propose(left, right, at, key):
+    def propose(row, left, right, at, key):
         joined = table.join(left, right)
         rank = np.where(joined >= 0, table.order[joined], NONE)
+        if seen is not None:
+            k = np.flatnonzero(joined >= 0)
+            seen.append((row[k], left[k], right[k], at[k]))
         if threshold:
-            h = (key ^ (left.astype(U64) * U64(0x9E3779B1)) ^ (right.astype(U64) * U64(0x85EBCA77))
-                 ^ (at.astype(U64) * U64(0xC2B2AE3D))) * U64(0x27D4EB2F165667C5)
-            rank[((h >> U64(29)) ^ (h >> U64(43))) & U64(0xFFFFF) < U64(threshold)] = NONE
+            rank[_skipped(key, left, right, at, threshold)] = NONE
         return rank
 
     if width > 1:
+        keys = np.zeros(n, U64) if keys is None else keys
         rank = np.full((n, width), NONE, np.int32)
         r, c = np.nonzero(np.arange(1, width) < sizes[:, None])
-        rank[r, c] = propose(ids[r, c], ids[r, c + 1], place[r, c], keys[r])
-        active = np.arange(n)
+        rank[r, c] = propose(r, ids[r, c], ids[r, c + 1], place[r, c], keys[r])
         while len(active):
             at = rank.argmin(axis=1)
             rows = np.arange(len(active))
@@ -218,102 +231,177 @@ def encode_many(ids: np.ndarray, sizes: np.ndarray, table: PairTable, keys: np.n
             rank[rows, at] = NONE
             rank[rows, sizes - 1] = NONE
             k = np.flatnonzero(at + 1 < sizes)
-            rank[k, at[k]] = propose(ids[k, at[k]], ids[k, at[k] + 1], place[k, at[k]], keys[k])
+            rank[k, at[k]] = propose(active[k], ids[k, at[k]], ids[k, at[k] + 1], place[k, at[k]], keys[k])
             k = np.flatnonzero(at > 0)
-            rank[k, at[k] - 1] = propose(ids[k, at[k] - 1], ids[k, at[k]], place[k, at[k] - 1], keys[k])
+            rank[k, at[k] - 1] = propose(active[k], ids[k, at[k] - 1], ids[k, at[k]], place[k, at[k] - 1], keys[k])
     return out, out_sizes
 
 
+def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions of all ranges behind each other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class Chunks:
+    """The chunks of a column of texts: symbols, ranges, text and place of each.
+
+    A chunk is a newline, or spaces with what follows them up to the next space
+    or newline. Every text gets a leading space. A character of the vocabulary
+    is one symbol, any other one a symbol a byte.
+    """
+
+    def __init__(self, texts: pa.Array, encoder: "Encoder"):
+        raw, offsets = buffer(texts)
+        lead = np.asarray(texts.is_valid().to_numpy(zero_copy_only=False), np.int64)
+        shift = np.cumsum(lead)
+        self.bounds = offsets + np.concatenate(([0], shift))
+        data = np.full(int(self.bounds[-1]), 0x20, np.uint8)
+        sizes = np.diff(offsets)
+        data[np.arange(len(raw)) + np.repeat(shift, sizes)] = raw
+        self.data = data
+        n = len(data)
+        space, line = data == 0x20, data == 0x0A
+        begin = line.copy()
+        begin[1:] |= line[:-1] | (space[1:] & ~space[:-1])
+        begin[self.bounds[:-1][self.bounds[:-1] < self.bounds[1:]]] = True
+        self.starts = np.flatnonzero(begin)
+        self.ends = np.append(self.starts[1:], n) if len(self.starts) else self.starts
+        first = np.searchsorted(self.starts, self.bounds)
+        self.of_text = first
+        self.text = np.repeat(np.arange(len(sizes)), np.diff(first))
+        self.place = np.arange(len(self.starts)) - first[:-1][self.text]
+        lead_byte = (data & 0xC0) != 0x80
+        char = np.cumsum(lead_byte) - 1
+        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        known = encoder.table.points[points]
+        own = known[char] if n else np.zeros(0, np.int32)
+        keep = lead_byte | (own < 0)
+        self.symbols = np.where(own < 0, encoder.byte_ids[data], own)[keep].astype(np.int32)
+        total = np.concatenate(([0], np.cumsum(keep)))
+        self.sym_starts, self.sym_sizes = total[self.starts], total[self.ends] - total[self.starts]
+
+
 class Encoder:
-    """Encodes texts; remembers short chunks, which changes speed and not results."""
+    """Encodes columns of texts.
+
+    Per slice the chunks' dropout-free merges are worked out once for each
+    distinct chunk, with the candidates that come up in them. A chunk in which
+    its own key skips none of these has that answer; all others are merged
+    with their own key. Keys come from seed, document and the chunk's place.
+    """
 
     def __init__(self, vocabulary: Vocabulary, seed: int = SEED, dropout: float = DROPOUT, table: PairTable | None = None):
         self.vocabulary, self.seed, self.threshold = vocabulary, seed, int(dropout * (1 << 20))
         self.table = table or PairTable(vocabulary)
-        self.keys = mix(np.arange(VARIANTS, dtype=U64) + mix(np.array([seed], np.int64).view(U64))).tolist()
-        self.known: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
-
-    def _learn(self, chunks: list[str], variants: list[int]) -> list[bytes]:
-        """The ids of (chunk, variant) pairs."""
-        out: list[bytes] = [b""] * len(chunks)
-        keys = np.array(self.keys, U64)[variants]
-        sizes = np.array([len(c) for c in chunks])
-        points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
-        ids = self.table.points[points]
-        ends = np.cumsum(sizes)
-        odd = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum(ids < 0, out=odd[1:])
-        plain = (odd[ends] == odd[ends - sizes]) & (sizes <= SHORT)
-        for k in np.flatnonzero(~plain).tolist():
-            out[k] = array("i", encode_chunk(chunks[k], self.vocabulary, int(keys[k]), self.threshold)).tobytes()
+        self.byte_ids = np.array(vocabulary.byte_ids, np.int32)
+        self.surface = np.frombuffer(b"".join(vocabulary.surface), np.uint8)
+        ends = np.cumsum([len(x) for x in vocabulary.surface])
+        self.surface_sizes = np.diff(np.concatenate(([0], ends)))
+        self.surface_starts = ends - self.surface_sizes
+
+    def keys(self, docs: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The key of the chunk at ``place`` of each document."""
+        own = mix(np.array([self.seed], np.int64).view(U64))
+        return mix(place.astype(U64) + mix(docs.astype(np.int64).view(U64) + own))
+
+    def _merge(self, symbols, starts, sizes, keys=None, seen=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of the chunks at symbols[starts:starts + sizes]: flat ids in some order, and where each chunk's begin and how many they are."""
+        flat, begin, count, at = [], np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64), 0
         low = 0
-        for width in (5, 8, 12, 18, SHORT):
-            take = np.flatnonzero(plain & (sizes <= width) & (sizes > low))
+        for width in WIDTHS:
+            some = np.flatnonzero((sizes <= width) & (sizes > low))
             low = width
-            if len(take):
+            for take in np.array_split(some, max(1, -(-len(some) * width // ROW_CELLS))):
+                if not len(take):
+                    continue
                 cols = np.arange(width)
                 inside = cols < sizes[take][:, None]
-                rows = np.where(inside, ids[np.minimum((ends - sizes)[take][:, None] + cols, len(ids) - 1)], -1)
-                got, got_sizes = encode_many(rows, sizes[take], self.table, keys[take], self.threshold)
-                flat = got[np.arange(width) < got_sizes[:, None]].astype(np.int32).tobytes()
-                stops = (4 * np.cumsum(got_sizes)).tolist()
-                for k, a, b in zip(take.tolist(), [0, *stops], stops):
-                    out[k] = flat[a:b]
+                rows = np.where(inside, symbols[np.minimum(starts[take][:, None] + cols, len(symbols) - 1)], -1)
+                mine = [] if seen is not None else None
+                got, got_sizes = encode_many(rows, sizes[take], self.table, None if keys is None else keys[take],
+                                             0 if keys is None else self.threshold, mine)
+                if seen is not None:
+                    seen.extend((take[r], left, right, place) for r, left, right, place in mine)
+                flat.append(got[np.arange(width) < got_sizes[:, None]])
+                begin[take], count[take] = at + np.cumsum(got_sizes) - got_sizes, got_sizes
+                at += len(flat[-1])
+        for k in np.flatnonzero(sizes > WIDTHS[-1]).tolist():
+            ids = merge_symbols(symbols[starts[k]: starts[k] + sizes[k]].tolist(), self.vocabulary, 0 if keys is None else int(keys[k]),
+                                0 if keys is None else self.threshold)
+            flat.append(np.array(ids, np.int32))
+            begin[k], count[k] = at, len(ids)
+            at += len(ids)
+        return np.concatenate(flat) if flat else np.zeros(0, np.int32), begin, count
+
+    def _altered(self, kind: np.ndarray, keys: np.ndarray, seen: list, n_kinds: int) -> np.ndarray:
+        """Whether a chunk's key skips a candidate of its dropout-free merges."""
+        row, left, right, at = (np.concatenate([s[c] for s in seen]) if seen else np.zeros(0, np.int64) for c in range(4))
+        order = np.argsort(row, kind="stable")
+        left, right, at = left[order], right[order], at[order]
+        count = np.bincount(row, minlength=n_kinds)
+        first = np.cumsum(count) - count
+        out = np.zeros(len(kind), bool)
+        for a in range(0, len(kind), 1 << 16):
+            k, key = kind[a: a + (1 << 16)], keys[a: a + (1 << 16)]
+            spot = _gather(first[k], count[k])
+            whose = np.repeat(np.arange(len(k)), count[k])
+            skip = _skipped(key[whose], left[spot], right[spot], at[spot], self.threshold)
+            out[a + whose[skip]] = True
         return out
 
-    def encode(self, texts: list[str | None], docs: list[int]) -> list[bytes | None]:
-        """The ids of each text as little-endian 32-bit integers."""
-        known = self.known
-        for v, one in enumerate(known):
-            if len(one) > REMEMBER // VARIANTS:
-                # Frequent chunks were met early: the older half stays.
-                known[v] = dict(islice(one.items(), REMEMBER // VARIANTS // 2))
-        get = [one.get for one in known]
-        own = mix(np.array([self.seed], np.int64).view(U64))
-        starts = mix(np.array(docs, np.int64).view(U64) + own)
-        found: list[list | None] = []
-        missing: dict[tuple[str, int], list] = {}
-        for n, (text, start) in enumerate(zip(texts, starts)):
-            if text is None:
-                found.append(None)
-                continue
-            chunks = CHUNK.findall(" " + text)
-            variants = (mix(np.arange(len(chunks), dtype=U64) + start) & U64(VARIANTS - 1)).tolist()
-            got = [get[v](c) for c, v in zip(chunks, variants)]
-            found.append(got)
-            if None in got:
-                for at, ids in enumerate(got):
-                    if ids is None:
-                        missing.setdefault((chunks[at], variants[at]), []).append((n, at))
-        if missing:
-            learnt = self._learn([c for c, _ in missing], [v for _, v in missing])
-            for ((chunk, variant), places), ids in zip(missing.items(), learnt):
-                for n, at in places:
-                    found[n][at] = ids
-                if len(chunk) <= SHORT:
-                    known[variant][chunk] = ids
-        return [None if got is None else b"".join(got) for got in found]
+    def encode(self, texts: pa.Array, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, Chunks]:
+        """The ids of all texts behind each other, and where each text's begin."""
+        chunks = Chunks(texts, self)
+        if not len(chunks.starts):
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64), chunks
+        offsets = np.append(chunks.starts, len(chunks.data)).astype(np.int64)
+        column = pa.Array.from_buffers(pa.large_binary(), len(chunks.starts), [None, pa.py_buffer(offsets), pa.py_buffer(chunks.data)])
+        kind = column.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        n_kinds = int(kind.max()) + 1
+        first = np.zeros(n_kinds, np.int64)
+        first[kind[::-1]] = np.arange(len(kind))[::-1]
+        seen: list | None = [] if self.threshold else None
+        flat, begin, count = self._merge(chunks.symbols, chunks.sym_starts[first], chunks.sym_sizes[first], seen=seen)
+        starts, sizes = begin[kind], count[kind]
+        if self.threshold:
+            keys = self.keys(np.asarray(docs)[chunks.text], chunks.place)
+            change = np.flatnonzero(self._altered(kind, keys, seen, n_kinds) | (chunks.sym_sizes > WIDTHS[-1]))
+            more, begin, count = self._merge(chunks.symbols, chunks.sym_starts[change], chunks.sym_sizes[change], keys[change])
+            starts[change], sizes[change] = len(flat) + begin, count
+            flat = np.concatenate((flat, more))
+        ids = flat[_gather(starts, sizes)].astype(np.int32)
+        total = np.concatenate(([0], np.cumsum(sizes)))
+        return ids, total[chunks.of_text], chunks
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all texts with their leading spaces, and where each text's begin."""
+        sizes = self.surface_sizes[ids]
+        total = np.concatenate(([0], np.cumsum(sizes)))
+        return self.surface[_gather(self.surface_starts[ids], sizes)], total[offsets]
 
 
 _tables: dict[str, PairTable] = {}
 
 
 def _encoder(vocabulary: Vocabulary, path: str, seed: int, dropout: float) -> Encoder:
-    """A task's own encoder; only the pair table, which the model fixes, stays in the worker process."""
+    """A task's encoder; only the pair table, which the model fixes, stays in the worker process."""
     if path not in _tables:
         _tables[path] = PairTable(vocabulary)
     return Encoder(vocabulary, seed, dropout, _tables[path])
 
 
-def _lists(ids: list[bytes | None]) -> pa.ListArray:
-    sizes = np.array([0 if x is None else len(x) // 4 for x in ids], np.int64)
-    flat = np.frombuffer(b"".join(x for x in ids if x is not None), np.int32)
-    offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
-    return pa.ListArray.from_arrays(offsets, pa.array(flat), mask=pa.array([x is None for x in ids]))
+def _lists(ids: np.ndarray, offsets: np.ndarray, gone: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()), mask=gone)
 
 
-def _text(ids: np.ndarray, surface: list[bytes]) -> str:
-    return b"".join([surface[k] for k in ids.tolist()])[1:].decode()
+def _same(chunks: Chunks, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Whether each text's bytes are those of ``data`` between ``bounds``."""
+    if np.array_equal(bounds, chunks.bounds):
+        out = np.ones(len(bounds) - 1, bool)
+        out[np.searchsorted(bounds, np.flatnonzero(data != chunks.data), "right") - 1] = False
+        return out
+    return np.array([np.array_equal(data[a:z], chunks.data[b:y]) for a, z, b, y in zip(bounds[:-1], bounds[1:], chunks.bounds[:-1], chunks.bounds[1:])], bool)
 
 
 def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL, seed: int = SEED,
@@ -327,10 +415,9 @@ def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches):
         encoder = _encoder(shared.value, path, seed, dropout)
-        for b in slices(batches, "text"):
-            ids = encoder.encode(b.column(1).to_pylist(), b.column(2).to_pylist())
-            lists = _lists(ids)
-            yield pa.RecordBatch.from_arrays([b.column(0), lists], ["row", "ids"])
+        for b in slices(batches, "text", SLICE):
+            ids, offsets, _ = encoder.encode(b.column(1), b.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays([b.column(0), _lists(ids, offsets, b.column(1).is_null())], ["row", "ids"])
 
     return df.mapInArrow(run, schema)
 
@@ -344,10 +431,7 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     def run(batches):
         surface = shared.value
         for b in batches:
-            ids = b.column(at)
-            flat, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
-            gone = ids.is_null().to_pylist()
-            texts = [None if null else _text(flat[a:z], surface) for null, a, z in zip(gone, offsets[:-1].tolist(), offsets[1:].tolist())]
+            texts = [None if ids is None else b"".join([surface[k] for k in ids])[1:].decode() for ids in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], schema=pa.schema(
                 [*b.schema, pa.field("decoded", pa.string())]))
 
@@ -355,8 +439,8 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
 
 
 def round_trip(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL, seed: int = SEED,
-               dropout: float = DROPOUT, with_ids: bool = True) -> DataFrame:
-    """Encode and decode in one pass: ``id_col``, n_pieces, ids_sha256, lossless and, unless ``with_ids`` is off, ids.
+               dropout: float = DROPOUT) -> DataFrame:
+    """Encode and decode in one pass: ``id_col``, n_pieces, ids_sha256, lossless and ids.
 
     ``ids_sha256`` is the digest of the ids as little-endian 32-bit integers; a
     null text has null ids, no pieces and no digest.
@@ -364,18 +448,19 @@ def round_trip(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(load(path))
     df = documents.select(id_col, F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long")).alias("doc"))
-    schema = StructType([df.schema[id_col]]).add("n_pieces", "long").add("ids_sha256", "string").add("lossless", "boolean")
-    if with_ids:
-        schema = schema.add("ids", ArrayType(IntegerType()))
+    schema = (StructType([df.schema[id_col]]).add("n_pieces", "long").add("ids_sha256", "string").add("lossless", "boolean")
+              .add("ids", ArrayType(IntegerType())))
 
     def run(batches):
-        encoder, surface = _encoder(shared.value, path, seed, dropout), shared.value.surface
-        for b in slices(batches, "text"):
-            texts = b.column(1).to_pylist()
-            ids = encoder.encode(texts, b.column(2).to_pylist())
-            same = [t == (None if x is None else _text(np.frombuffer(x, np.int32), surface)) for t, x in zip(texts, ids)]
-            out = [b.column(0), pa.array([0 if x is None else len(x) // 4 for x in ids], pa.int64()),
-                   pa.array([None if x is None else hashlib.sha256(x).hexdigest() for x in ids], pa.string()), pa.array(same)]
-            yield pa.RecordBatch.from_arrays([*out, _lists(ids)] if with_ids else out, schema.names)
+        encoder = _encoder(shared.value, path, seed, dropout)
+        for b in slices(batches, "text", SLICE):
+            gone = b.column(1).is_null()
+            ids, offsets, chunks = encoder.encode(b.column(1), b.column(2).to_numpy())
+            same = _same(chunks, *encoder.decode(ids, offsets))
+            body = memoryview(ids.astype("<i4")).cast("B")
+            digests = [None if null else hashlib.sha256(body[4 * a: 4 * z]).hexdigest()
+                       for null, a, z in zip(gone.to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(offsets), pa.int64()), pa.array(digests, pa.string()), pa.array(same),
+                                              _lists(ids, offsets, gone)], schema.names)
 
     return df.mapInArrow(run, schema)

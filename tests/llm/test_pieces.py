@@ -1,4 +1,7 @@
+import re
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,24 +16,49 @@ def vocabulary():
     return pieces.load()
 
 
+CHUNK = re.compile(r"\n| *[^ \n]+| +")
+
+
+def encoded(encoder, texts, docs):
+    ids, offsets, _ = encoder.encode(pa.array(texts, pa.string()), np.array(docs, np.int64))
+    return [ids[a:z].tolist() for a, z in zip(offsets[:-1], offsets[1:])]
+
+
 def test_without_dropout_equals_the_library(vocabulary):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
     texts = [t for t in ODD if t and "▁" not in t] + [prose(k, 60) for k in range(20)]
-    got = pieces.Encoder(vocabulary, dropout=0.0).encode(texts, list(range(len(texts))))
-    assert [np.frombuffer(g, np.int32).tolist() for g in got] == [model.encode(t) for t in texts]
-
-
-def test_arrays_equal_the_agenda(vocabulary):
-    encoder = pieces.Encoder(vocabulary, dropout=0.3)
-    encoder.encode([prose(k, 300) + " Wordsofmanyletters, tiontiontion" for k in range(10)], list(range(10)))
-    n = 0
-    for known, key in zip(encoder.known, encoder.keys):
-        for chunk, ids in known.items():
-            assert np.frombuffer(ids, np.int32).tolist() == pieces.encode_chunk(chunk, vocabulary, key, encoder.threshold)
-            n += 1
-    assert n > 500
+    got = encoded(pieces.Encoder(vocabulary, dropout=0.0), texts, range(len(texts)))
+    assert got == [model.encode(t) for t in texts]
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.4])
+def test_arrays_equal_the_agenda(vocabulary, dropout):
+    """Chunk by chunk, with the key of its document and place; long chunks, bytes and blanks included."""
+    encoder = pieces.Encoder(vocabulary, dropout=dropout)
+    texts = [prose(k, 60) + " Wordsofmanyletters, tiontiontion " + "international" * k for k in range(12)] + ODD + [None]
+    docs = [7 * k for k in range(len(texts))]
+    want = []
+    for text, doc in zip(texts, docs):
+        chunks = CHUNK.findall(" " + text) if text is not None else []
+        keys = encoder.keys(np.full(len(chunks), doc), np.arange(len(chunks))).tolist()
+        want.append([i for c, k in zip(chunks, keys) for i in pieces.encode_chunk(c, vocabulary, k, encoder.threshold)])
+    assert encoded(encoder, texts, docs) == want
+
+
+def test_every_occurrence_is_segmented_on_its_own(vocabulary):
+    encoder = pieces.Encoder(vocabulary)
+    word = " internationalization"
+    texts = [word * 50] * 200
+    ids, offsets, _ = encoder.encode(pa.array(texts), np.arange(200))
+    data, bounds = encoder.decode(ids, offsets)
+    assert data.tobytes() == ("".join(" " + t for t in texts)).encode() and bounds[-1] == len(data)
+    forms = set()
+    start = np.flatnonzero([x.startswith(b" ") for x in (vocabulary.surface[k] for k in ids.tolist())])
+    for a, z in zip(start, np.append(start[1:], len(ids))):
+        forms.add(tuple(ids[a:z].tolist()))
+    assert len(forms) > 300
 
 
 def test_round_trip_and_seed(spark, awkward):
