@@ -1,6 +1,7 @@
 """Connected components over an edge table, by alternating large and small stars.
 
-Edges are first contracted within each partition. Each round is then two
+Edges may first be contracted within each partition, in Python; the rounds are
+DataFrame operations only. Each round is two
 aggregations with a map-side minimum and two joins of stored tables, so a hub
 with a third of all edges is summed before the shuffle and its join partition
 can be split. Rounds grow with the logarithm of the diameter.
@@ -49,17 +50,16 @@ def _is_done(edges: DataFrame) -> bool:
     return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up > 0 AND down > 0").isEmpty()
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", contract: bool = True) -> DataFrame:
     """(node, label) for every node of ``edges``; the label is the smallest node that it reaches.
 
     Null ends and loops are left out; repeated edges count once; no edges give
-    no rows.
+    no rows. ``contract`` spares rounds where many edges of a partition meet.
     """
     pairs = (edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
              .select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")))
-    schema = pairs.schema
     # Contracting each partition first leaves at most one edge a node and task.
-    now = stage_table(pairs.mapInArrow(_contract, schema), "edges")
+    now = stage_table(pairs.mapInArrow(_contract, pairs.schema) if contract else pairs.distinct(), "edges")
     while not _is_done(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, "large").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

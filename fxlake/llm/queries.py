@@ -45,7 +45,7 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every text, their digest, and whether decoding gives the text back."""
-    return pieces.round_trip(_read(spark, sf_dir, "documents"), with_ids=False)
+    return pieces.round_trip(_read(spark, sf_dir, "documents"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,25 +176,42 @@ def _rule_sql(host: str, path: str, want: int) -> str:
     return f"CASE {' '.join(cases)} END"
 
 
+def _clear_sql(path: str) -> str:
+    """``path`` without dot segments."""
+    kept = (f"list_reduce([[]::VARCHAR[]] || list_transform(string_split({path}, '/'), lambda p: [p]), lambda acc, p: CASE WHEN p[1] = '.' THEN acc "
+            f"WHEN p[1] = '..' THEN acc[:greatest(len(acc) - 1, 1)] ELSE acc || p END)")
+    return (rf"CASE WHEN regexp_matches({path}, '/\.\.?(/|$)') THEN array_to_string({kept}, '/') || "
+            rf"CASE WHEN regexp_matches({path}, '/\.\.?$') THEN '/' ELSE '' END ELSE {path} END")
+
+
 def _url_sql() -> str:
-    parts = r"""regexp_extract(rest, '^[^/?#]*') AS h, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path"""
+    q = lambda pattern: "'%s'" % pattern.replace("'", "''")
+    parts = r"""regexp_extract(rest, '^[^/?#]*') AS h, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query"""
     low = "translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host"
-    rest = "CASE WHEN contains(u, '://') THEN substr(u, strpos(u, '://') + 3) ELSE '' END AS rest"
-    key = "host || regexp_replace(path, '/+$', '')"
-    canonical = r"""regexp_extract(html, '(?is)<link\b[^>]*?\brel\s*=\s*["'']?canonical\b[^>]*>')"""
-    refresh = r"""regexp_extract(html, '(?is)<meta\b[^>]*?\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')"""
-    href = r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))"""
-    target = r"""(?is)\burl\s*=\s*["'']?([^"''>\s;]+)"""
-    link = " || ".join(f"regexp_extract({canonical}, '{href}', {k})" for k in (1, 2, 3))
+    rest = lambda u: f"CASE WHEN contains({u}, '://') THEN substr({u}, strpos({u}, '://') + 3) ELSE '' END AS rest"
+    key = f"CASE WHEN host <> '' THEN host || regexp_replace({_clear_sql('path')}, '/+$', '') || CASE WHEN query <> '' THEN '?' || query ELSE '' END END"
+    body = f"regexp_replace(coalesce(html, ''), {q(urls.COMMENT)}, '', 'g')"
+    tags = lambda tag, attribute: f"list_filter(regexp_extract_all(body, {q(tag)}), lambda t: regexp_matches(t, {q(attribute)}))"
+    href = " || ".join(f"regexp_extract(t, {q(urls.HREF)}, {k})" for k in (1, 2, 3))
+    plain = "x"
+    for written in urls.AMPERSANDS:
+        plain = f"replace({plain}, '{written}', '&')"
+    root = "CASE WHEN host <> '' THEN regexp_extract(u, '^(.*?)://', 1) || '://' || host END"
     return f"""
-WITH RECURSIVE p AS (SELECT page_id, html, host, path, CASE WHEN host <> '' THEN {key} END AS node, {_rule_sql('host', 'path', 1)} AS rule,
-                            {_rule_sql('host', 'path', 0)} AS own
-      FROM (SELECT *, {low} FROM (SELECT *, {parts} FROM (SELECT page_id, html, {rest} FROM (SELECT page_id, html, coalesce(url, '') AS u FROM pages))))),
-raw AS (SELECT host, node, unnest([trim({link}), regexp_extract({refresh}, '{target}', 1)]) AS x FROM p WHERE html IS NOT NULL AND node IS NOT NULL),
-far AS (SELECT node AS a, CASE WHEN contains(x, '://') THEN x WHEN starts_with(x, '//') THEN 'http:' || x
-                               WHEN starts_with(x, '/') THEN 'http://' || host || x ELSE '' END AS u FROM raw WHERE x <> ''),
-e AS (SELECT a, {key} AS b, {_rule_sql('host', 'path', 0)} AS v
-      FROM (SELECT *, {low} FROM (SELECT *, {parts} FROM (SELECT a, {rest} FROM far))) WHERE host <> ''),
+WITH RECURSIVE p AS (SELECT page_id, u, html, host, path, {key} AS node, {_rule_sql('host', 'path', 1)} AS rule, {_rule_sql('host', 'path', 0)} AS own
+      FROM (SELECT *, {low} FROM (SELECT *, {parts} FROM (SELECT page_id, html, u, {rest('u')} FROM (SELECT page_id, html, coalesce(url, '') AS u FROM pages))))),
+tags AS (SELECT u, host, path, node, unnest(list_transform({tags(urls.LINK_TAG, urls.CANONICAL)}, lambda t: {href})
+                || list_transform({tags(urls.META_TAG, urls.REFRESH)}, lambda t: regexp_extract(t, {q(urls.TARGET)}, 1))) AS x
+         FROM (SELECT *, {body} AS body FROM p)),
+raw AS (SELECT u, host, path, node, trim({plain}) AS x FROM tags),
+far AS (SELECT node AS a, CASE WHEN regexp_matches(x, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN x
+               WHEN starts_with(x, '//') THEN coalesce(nullif(regexp_extract(u, '^(.*?)://', 1), ''), 'http') || ':' || x
+               WHEN starts_with(x, '/') THEN {root} || x WHEN regexp_matches(x, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+               WHEN regexp_matches(x, '^[?#]') THEN {root} || path || x
+               ELSE {root} || coalesce(nullif(regexp_extract(path, '^.*/'), ''), '/') || x END AS u FROM raw WHERE x <> ''),
+e AS (SELECT DISTINCT a, {key} AS b, {_rule_sql('host', 'path', 0)} AS v
+      FROM (SELECT a, host, query, {_clear_sql('path')} AS path FROM (SELECT *, {low} FROM (SELECT *, {parts} FROM (SELECT a, {rest('u')} FROM far WHERE u IS NOT NULL))))
+      WHERE host <> '' AND a IS NOT NULL),
 both_ways AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
 blocked AS (SELECT node FROM p WHERE own = 'block' UNION SELECT b FROM e WHERE v = 'block' AND a <> b),
 reach(node) AS (SELECT node FROM blocked UNION SELECT b FROM reach JOIN both_ways ON reach.node = both_ways.a)
