@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fxlake.llm.marks import is_marked
+from fxlake.llm.marks import with_marks
 from fxlake.llm.text import small_batches
 from fxlake.session import stage_table
 
@@ -164,9 +164,9 @@ def apply_bitmaps(documents: DataFrame, bitmaps: DataFrame, id_col: str = "doc_i
     body = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != text_col]).alias("row"),
                             F.col(text_col).alias("text"), _doc_key(id_col).alias("_doc"), F.xxhash64(text_col).alias("_row"))
     # Texts that lose nothing stay where they are; the others meet their bitmaps.
-    marked = is_marked(bitmaps.select("doc", "row"))("_doc", "_row")
-    met = body.where(marked).join(maps, (F.col("_doc") == F.col("_d")) & (F.col("_row") == F.col("_r")), "left")
-    whole = body.where(~marked).withColumns({"n_dropped": F.lit(None).cast("int"), "keep_bitmap": F.lit(None).cast("binary")})
+    marked = with_marks(body, bitmaps.select("doc", "row"), F.col("_doc"), F.col("_row"))
+    met = marked.where("_marked").drop("_marked").join(maps, (F.col("_doc") == F.col("_d")) & (F.col("_row") == F.col("_r")), "left")
+    whole = marked.where("NOT _marked").drop("_marked").withColumns({"n_dropped": F.lit(None).cast("int"), "keep_bitmap": F.lit(None).cast("binary")})
     joined = (met.select(*whole.columns).union(whole)
               .select("row", "text", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), "keep_bitmap"))
     schema = joined.select("row", "text", F.lit(0).cast("long").alias("n_lines"), "n_dropped").schema

@@ -1,20 +1,15 @@
 """Tables of ``2**BITS`` byte counters, summed over tasks in parts; their size does not depend on the input.
 
-``is_marked`` uses one as a set that may say yes to a few others: rows that it
+``with_marks`` is a bitmap set that may say yes to a few others: rows that it
 turns away need no join, so their texts stay out of a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fxlake.llm.text import U64, mix
-
 BITS, PART = 22, 14
 
 
@@ -56,24 +51,29 @@ def summed(rows: DataFrame) -> np.ndarray:
     return codes
 
 
-def _bucket(doc: np.ndarray, row: np.ndarray) -> np.ndarray:
-    return (mix(row.view(U64) ^ mix(doc.view(U64))) & U64((1 << BITS) - 1)).astype(np.int64)
+#: Bits a member, and the most buckets of 32,768 bits (16 MB): past some 10^7 members more rows than needed are marked.
+BITS_A_MEMBER, BUCKETS = 16, 1 << 12
 
 
-def _mark(batches):
-    counts = np.zeros(1 << BITS, np.int32)
-    for b in batches:
-        counts[_bucket(b.column(0).to_numpy(), b.column(1).to_numpy())] = 1
-    yield from parts(counts)
-
+def with_marks(df: DataFrame, members: DataFrame, doc: Column, row: Column, name: str = "_marked") -> DataFrame:
+    """``df`` with a boolean ``name``: true for every row of ``members`` (doc, row) and for few others.
 
-def is_marked(members: DataFrame) -> Callable[..., Column]:
-    """A test for (doc, row): true for every row of ``members`` and for few others. A null doc counts as -1."""
-    marks = members.select(F.coalesce("doc", F.lit(-1).cast("long")), "row").mapInArrow(_mark, "part int, counts binary")
-    table = members.sparkSession.sparkContext.broadcast(summed(marks) > 0)
+    A bitmap that grows with ``members`` up to ``BUCKETS`` is built by aggregates
+    and broadcast, so rows that it turns away need no join. A null doc counts as -1.
+    """
+    buckets = 1
+    while buckets < BUCKETS and buckets << 15 < BITS_A_MEMBER * members.count():
+        buckets *= 2
 
-    @F.pandas_udf("boolean")
-    def held(doc: pd.Series, row: pd.Series) -> pd.Series:
-        return pd.Series(table.value[_bucket(doc.to_numpy(), row.to_numpy())])
+    def place(doc: Column, row: Column) -> Column:
+        return F.pmod(F.xxhash64(F.coalesce(doc, F.lit(-1).cast("long")), row), F.lit(buckets << 15)) + 1
 
-    return lambda doc, row: held(F.coalesce(doc, F.lit(-1).cast("long")), row)
+    bucket, bits, at = (f"{name}_{k}" for k in ("bucket", "bits", "at"))
+    held = place(F.col("doc"), F.col("row"))
+    table = members.groupBy(F.bitmap_bucket_number(held).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(held)).alias(bits))
+    spot = place(doc, row)
+    met = (df.withColumns({bucket: F.bitmap_bucket_number(spot), at: F.bitmap_bit_position(spot).cast("int")})
+           .join(F.broadcast(table), bucket, "left"))
+    byte = F.conv(F.hex(F.expr(f"substring(`{bits}`, cast(`{at}` div 8 + 1 as int), 1)")), 16, 10).cast("int")
+    hit = F.expr(f"`{at}` % 8")
+    return met.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), hit)), F.lit(2)) == 1, F.lit(False)).alias(name))

@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 U64 = np.uint64
 
@@ -45,7 +45,7 @@ def _pow(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of ``base`` and of its inverse modulo 2^64, at least ``n`` of each."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(1 << 16, 1 << int(n).bit_length())
+        size = max(1 << 16, n + n // 4)
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, U64(b))
