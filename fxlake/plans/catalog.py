@@ -7,6 +7,7 @@ depend on clocks or random ids never appear in outputs.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -356,6 +357,64 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.unionByName(bad).groupBy("sink", "quarantine_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _drop_events(spark: SparkSession, sf_dir: str, inbox: str, *parts) -> None:
+    """Drop the events of each condition into ``inbox`` as one file, one after the other; None is a payload that can't be read."""
+    events = event_payloads(spark, sf_dir, keep=["event_id", "ts"])
+    for where in parts:
+        values = spark.createDataFrame([("%%% not base64 %%%",)], "value string") if where is None else events.where(where).select("value").coalesce(1)
+        values.write.mode("append").text(inbox)
+
+
+def stream_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of four micro-batches of one run, killed after the outputs of the second and started again."""
+    import datetime as dt
+    import os
+
+    root = _scratch(spark, "stream-crash")
+    inbox = os.path.join(root, "inbox")
+    _drop_events(spark, sf_dir, inbox, "event_id % 3 = 0", "event_id % 3 < 2", None, "event_id % 2 = 0")
+
+    def die(epoch: int) -> None:
+        if epoch == 1:
+            raise RuntimeError("killed")
+
+    try:
+        ST.run_available(spark, inbox, root, dt.datetime(2024, 1, 1), max_files_per_trigger=1, after_epoch=die)
+    except StreamingQueryException:
+        pass
+    ST.run_available(spark, inbox, root, dt.datetime(2024, 1, 1), max_files_per_trigger=1)
+    return ST.read_counters(spark, root).select("epoch", "accepted", "skipped", "corrupt")
+
+
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads that can't be read, from two runs over the same files: how often each was kept (T5), and keys in Bronze."""
+    import datetime as dt
+    import os
+
+    root = _scratch(spark, "stream-letters")
+    inbox = os.path.join(root, "inbox")
+    broken = event_payloads(spark, sf_dir, keep=["event_id"]).where("event_id % 5 = 0").select(F.concat(F.lit("!"), F.col("event_id").cast("string")).alias("value"))
+    _drop_events(spark, sf_dir, inbox, "event_id % 5 <> 0")
+    broken.write.mode("append").text(inbox)
+    for checkpoint in ("first", "second"):
+        ST.run_available(spark, inbox, root, dt.datetime(2024, 1, 1), checkpoint=os.path.join(root, "_checkpoints", checkpoint))
+    letters = ST.read_corrupt(spark, root).groupBy(F.col("raw_value").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return letters.unionByName(ST.read_bronze(spark, root).agg(F.count(F.lit(1)).alias("n")).select(F.lit("bronze").alias("value"), "n"))
+
+
+def stream_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of a run whose state forgets after 30 days, while the older half of the events comes after the newer one."""
+    import datetime as dt
+    import os
+
+    root = _scratch(spark, "stream-watermark")
+    inbox = os.path.join(root, "inbox")
+    middle = event_payloads(spark, sf_dir, keep=["ts"]).agg(F.expr("percentile_approx(ts, 0.5)").cast("string")).first()[0]
+    _drop_events(spark, sf_dir, inbox, f"ts >= '{middle}'", f"ts < '{middle}'", "true")
+    ST.run_available(spark, inbox, root, dt.datetime(2024, 1, 1), max_files_per_trigger=1, bound="30 days")
+    return ST.read_bronze(spark, root).select(*ST.BRONZE_COLUMNS)
+
+
 def tb_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per finding of the trial-balance gate."""
     return TB.issues(silver_lines(spark, sf_dir), _tb(spark, sf_dir), FIXTURE_GEOS)
@@ -519,6 +578,9 @@ _QUERIES = {
     "stream_bronze": stream_bronze,
     "stream_replay": stream_replay,
     "stream_silver": stream_silver,
+    "stream_crash": stream_crash,
+    "stream_dead_letters": stream_dead_letters,
+    "stream_watermark": stream_watermark,
     "tb_issues": tb_issues,
     "approval_issues": approval_issues,
     "mec_missing_columns": mec_missing_columns,

@@ -500,6 +500,26 @@ UNION ALL SELECT CAST(1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(1
 UNION ALL SELECT CAST(2 AS BIGINT), CAST(0 AS BIGINT), count(*), CAST(0 AS BIGINT) FROM ev"""),
 })
 
+def _crash_sql() -> str:
+    """Counters of events dropped part by part; a key counts for the first part that holds it."""
+    parts = {0: "event_id % 3 = 0", 1: "event_id % 3 < 2", 3: "event_id % 2 = 0"}
+    held = " UNION ALL ".join(f"SELECT CAST({k} AS BIGINT) AS epoch, surrogate_key FROM (SELECT surrogate_key, journal_line_num AS event_id FROM ev) WHERE {w}"
+                              for k, w in parts.items())
+    return f"""
+SELECT epoch, count(DISTINCT surrogate_key) FILTER (epoch = first) AS accepted,
+       count(*) - count(DISTINCT surrogate_key) FILTER (epoch = first) AS skipped, CAST(0 AS BIGINT) AS corrupt
+FROM (SELECT *, min(epoch) OVER (PARTITION BY surrogate_key) AS first FROM ({held})) GROUP BY epoch
+UNION ALL SELECT CAST(2 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS BIGINT)"""
+
+
+ORACLES.update({
+    "stream_crash": with_ctes(STREAM_ROWS, body=_crash_sql()),
+    "stream_dead_letters": with_ctes(STREAM_ROWS, body="""
+SELECT '!' || CAST(journal_line_num AS VARCHAR) AS value, count(*) AS n FROM ev WHERE journal_line_num % 5 = 0 GROUP BY 1
+UNION ALL SELECT 'bronze', count(DISTINCT surrogate_key) FROM ev WHERE journal_line_num % 5 <> 0"""),
+    "stream_watermark": ORACLES["stream_bronze"],
+})
+
 ORACLES["gold_batches"] = with_ctes(*SILVER, body="""
 SELECT batch_id, count(*) AS n_lines, count(*) AS n_stamped,
   CAST(sum(coalesce(accounted_dr, 0)) AS DECIMAL(38,4)) AS accounted_dr,

@@ -187,7 +187,7 @@ def booking_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_payloads(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """Events as stream input: base64 text of one JSON object per event (FIXTURES B4).
 
     Even event ids carry the account flat (``segment3_account``), odd ones nested
@@ -209,4 +209,4 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("E"), (F.col("user_id") % 5).cast("string")).alias("legal_entity"),
     ))
     # One event per line: drop any line breaks a chunking base64 encoder inserts.
-    return ev.select(F.regexp_replace(F.base64(F.encode(payload, "UTF-8")), r"\s+", "").alias("value"))
+    return ev.select(F.regexp_replace(F.base64(F.encode(payload, "UTF-8")), r"\s+", "").alias("value"), *(keep or []))

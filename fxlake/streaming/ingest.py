@@ -2,18 +2,26 @@
 
 Events are lines of base64 text, each holding one JSON object. ``run_stream``
 takes any streaming DataFrame with a text column ``value`` (files here; a Kafka
-source with its value cast to string elsewhere). The streaming plan parses,
-normalises and keys every event once and lets Structured Streaming drop the
-keys that it has seen (``dropDuplicates`` with the RocksDB state store: look-ups
-per event, no read of the history). Undecodable payloads pass with a key of
-their own (T5). Each micro-batch then writes one classified table under its
-run and epoch, and everything else is read from that table: corrupt payloads,
-Bronze, the registry, Silver and quarantine, and counters.
+source with its value cast to string elsewhere). The plan has two branches over
+the same micro-batch:
+
+* valid events go through the state store, which drops keys seen before
+  (``dropDuplicates`` with RocksDB; with ``bound`` it is
+  ``dropDuplicatesWithinWatermark``, whose state forgets keys older than that);
+* all events pass without state. They are counted, undecodable payloads leave
+  for the dead letters (T5), and events below the watermark, which the state
+  store drops unseen, are looked up in the registry, so a bounded state loses
+  nothing.
+
+Each micro-batch is written once, and Bronze, registry, Silver, quarantine,
+dead letters and counters of its run and epoch are derived from that. The
+counters (A9) are part of the micro-batch: a crash before its commit repeats
+it and overwrites them, so they never miss an epoch.
 
 A run is the checkpoint's query id. Output of the same (run, epoch) is
 overwritten, so a replayed micro-batch gives the same answer. A replaced
 checkpoint is another run with an empty state: it overwrites nothing, and its
-events are anti-joined with the keys that earlier runs registered.
+events and dead letters are anti-joined with those of earlier runs.
 """
 
 from __future__ import annotations
@@ -21,14 +29,16 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from fxlake.functions.keys import payload_hash, surrogate_key
 from fxlake.functions.scalar import date_prefix, period_name
+from fxlake.operators.dedup import keep_one_per_key
 from fxlake.operators.quality import quarantine_split
-from fxlake.session import is_missing
+from fxlake.session import delete_path, is_missing
 from fxlake.schema import AMOUNT_TYPE, CANONICAL_COLUMNS, CANONICAL_SCHEMA, DEFAULT_SPARE, RATE_TYPE, STREAM_SOURCE_SYSTEM
 
 SEGMENT_FIELDS = T.StructType([T.StructField(n, T.StringType()) for n in
@@ -91,12 +101,31 @@ def normalise(events: DataFrame, run_ts: dt.datetime, keep: list[str] | None = N
     return out.select(*CANONICAL_COLUMNS, *(keep or []))
 
 
-def unique_events(stream: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    """The plan before the sink: events of new keys and all corrupt payloads, with input counts as metrics."""
-    rows = normalise(parse_events(stream), run_ts, keep=["is_corrupt", "raw_value"])
-    seen = rows.observe("seen", F.count(F.lit(1)).alias("rows"), F.count_if("is_corrupt").alias("corrupt"))
-    key = F.when(F.col("is_corrupt"), F.uuid()).otherwise(F.col("surrogate_key"))
-    return seen.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
+#: The two branches of a micro-batch, and the event time of events that have none.
+UNIQUE, SEEN = "unique", "seen"
+EARLIEST = "1970-01-01 00:00:00"
+
+
+def branches(stream: DataFrame, run_ts: dt.datetime, bound: str | None = None) -> DataFrame:
+    """The plan before the sink: events of new keys (``kind`` unique) and every event without state (seen).
+
+    ``bound`` (an interval such as ``30 days``) limits the state to keys whose
+    event time lies that far below the latest one. The event time is the
+    effective date, which the key holds too, so equal keys have equal times.
+    """
+    rows = normalise(parse_events(stream), run_ts, keep=["is_corrupt", "raw_value"]).withColumn(
+        "event_time", F.coalesce(F.col("effective_date").cast("timestamp"), F.lit(EARLIEST).cast("timestamp")))
+    good = rows.where(~F.col("is_corrupt"))
+    if bound is None:
+        unique = good.dropDuplicates(["surrogate_key"])
+        # Only the counts and the dead letters are needed of the others.
+        slim = [c for c in CANONICAL_COLUMNS if c != "surrogate_key"]
+        seen = rows.withColumns({c: F.lit(None).cast(rows.schema[c].dataType) for c in slim})
+    else:
+        unique, seen = good.withWatermark("event_time", bound).dropDuplicatesWithinWatermark(["surrogate_key"]), rows
+    seen = seen.withColumn("raw_value", F.when(F.col("is_corrupt"), F.col("raw_value")))
+    unique = unique.withColumn("raw_value", F.lit(None).cast("string"))
+    return unique.withColumn("kind", F.lit(UNIQUE)).unionByName(seen.withColumn("kind", F.lit(SEEN)))
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -108,8 +137,19 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def process_batch(spark: SparkSession, batch: DataFrame, run: str, epoch_id: int, root: str, run_ts: dt.datetime) -> None:
-    """One micro-batch of ``unique_events``: write it once, then derive every output of (run, epoch) from that."""
+def _watermark(spark: SparkSession, root: str, run: str, epoch_id: int, bound: str) -> dt.datetime:
+    """A time that the stream's watermark does not pass in this epoch: the latest event of earlier ones less ``bound``."""
+    counters = _read(spark, f"{root}/counters")
+    earliest = F.lit(EARLIEST).cast("timestamp")
+    if counters is None:
+        return spark.range(1).select(earliest).first()[0]
+    before = counters.where((F.col("run") == run) & (F.col("epoch") < epoch_id))
+    return before.agg(F.greatest(earliest, F.max("latest") - F.expr(f"INTERVAL {bound}"))).first()[0]
+
+
+def process_batch(spark: SparkSession, batch: DataFrame, run: str, epoch_id: int, root: str, run_ts: dt.datetime,
+                  bound: str | None = None) -> None:
+    """One micro-batch of ``branches``: write it once, then derive every output of (run, epoch) from that."""
     part = f"run={run}/epoch={epoch_id}"
 
     def write(df: DataFrame, table: str) -> str:
@@ -117,12 +157,34 @@ def process_batch(spark: SparkSession, batch: DataFrame, run: str, epoch_id: int
         df.write.mode("overwrite").parquet(path)
         return path
 
-    rows = spark.read.parquet(write(batch, "classified"))
-    write(rows.where("is_corrupt").select("raw_value"), "corrupt")
-    fresh = rows.where("NOT is_corrupt").select(*CANONICAL_COLUMNS)
-    registry = _read(spark, f"{root}/registry")
-    if registry is not None and not (others := registry.where(F.col("run") != run).select("surrogate_key")).isEmpty():
-        fresh = fresh.join(others, "surrogate_key", "left_anti").select(*CANONICAL_COLUMNS)
+    def others(table: str) -> DataFrame | None:
+        """What other runs hold of ``table``."""
+        rows = _read(spark, f"{root}/{table}")
+        if rows is None or (rows := rows.where(F.col("run") != run)).isEmpty():
+            return None
+        return rows
+
+    seen = F.col("kind") == SEEN
+    needed = ~seen | F.col("is_corrupt")
+    if bound is not None:
+        needed = needed | (F.col("event_time") <= F.lit(_watermark(spark, root, run, epoch_id, bound)))
+    counted = Observation()
+    rows = batch.observe(counted, F.count_if(seen).alias("rows"), F.count_if(seen & F.col("is_corrupt")).alias("corrupt"),
+                         F.max(F.when(seen & ~F.col("is_corrupt"), F.col("event_time"))).alias("latest"))
+    staged = write(rows.where(needed), "_staged")
+    rows = spark.read.parquet(staged)
+    seen_before, letters_before = others("registry"), others("corrupt")
+
+    letters = rows.where(seen & F.col("is_corrupt")).select("raw_value")
+    if letters_before is not None:
+        letters = letters.join(letters_before.select("raw_value"), "raw_value", "left_anti")
+    write(letters, "corrupt")
+
+    fresh = rows.where(~seen).select(*CANONICAL_COLUMNS)
+    if bound is not None:
+        fresh = fresh.unionByName(_late(spark, rows, fresh, run, epoch_id, root))
+    if seen_before is not None:
+        fresh = fresh.join(seen_before.select("surrogate_key"), "surrogate_key", "left_anti").select(*CANONICAL_COLUMNS)
     bronze = write(fresh, "bronze")
     landed = spark.read.schema(CANONICAL_SCHEMA).parquet(bronze)
     write(landed.select("surrogate_key", F.lit(STREAM_SOURCE_SYSTEM).alias("source_system"), F.lit(STAGE).alias("stage"),
@@ -132,35 +194,49 @@ def process_batch(spark: SparkSession, batch: DataFrame, run: str, epoch_id: int
     valid, bad = quarantine_split(landed)
     write(valid, "silver")
     write(bad, "quarantine")
-    write(landed.agg(F.count(F.lit(1)).alias("accepted")), "accepted")
+    counts = counted.get
+    totals = spark.createDataFrame([(counts["rows"], counts["corrupt"], counts["latest"])], "rows long, corrupt long, latest timestamp")
+    write(totals.coalesce(1).withColumn("accepted", F.lit(landed.count())), "counters")
+    delete_path(spark, staged)
 
 
-def run_stream(stream: DataFrame, root: str, run_ts: dt.datetime, checkpoint: str | None = None) -> None:
-    """Process what any streaming source (a text column ``value``) holds now, then stop (Trigger.AvailableNow, T1)."""
+def _late(spark: SparkSession, rows: DataFrame, unique: DataFrame, run: str, epoch_id: int, root: str) -> DataFrame:
+    """Events below the watermark that neither this micro-batch's state nor an earlier epoch of the run has let through."""
+    late = rows.where((F.col("kind") == SEEN) & ~F.col("is_corrupt")).select(*CANONICAL_COLUMNS)
+    late = keep_one_per_key(late, "surrogate_key").join(unique.select("surrogate_key"), "surrogate_key", "left_anti")
+    registry = _read(spark, f"{root}/registry")
+    if registry is not None:
+        before = registry.where((F.col("run") == run) & (F.col("epoch") < epoch_id)).select("surrogate_key")
+        late = late.join(before, "surrogate_key", "left_anti")
+    return late.select(*CANONICAL_COLUMNS)
+
+
+def run_stream(stream: DataFrame, root: str, run_ts: dt.datetime, checkpoint: str | None = None, bound: str | None = None,
+               after_epoch=None) -> StreamingQuery:
+    """Process what any streaming source (a text column ``value``) holds now, then stop (Trigger.AvailableNow, T1).
+
+    ``bound`` limits the state (see ``branches``); a checkpoint keeps the one it
+    began with. ``after_epoch(epoch)`` is called when a micro-batch has written
+    its outputs and is not committed yet. Returns the ended query.
+    """
     spark = stream.sparkSession
     checkpoint = checkpoint or f"{root}/_checkpoint"
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        process_batch(spark, batch, _run_id(spark, checkpoint), epoch, root, run_ts)
+        process_batch(spark, batch, _run_id(spark, checkpoint), epoch, root, run_ts, bound)
+        if after_epoch is not None:
+            after_epoch(epoch)
 
-    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.numRecentProgressUpdates": "100000"}
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB)
     try:
-        query = (unique_events(stream, run_ts).writeStream.foreachBatch(handle)
+        query = (branches(stream, run_ts, bound).writeStream.foreachBatch(handle)
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     finally:
-        for k, v in before.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
     query.awaitTermination()
-    seen = [(p["batchId"], int(m["rows"]), int(m["corrupt"])) for p in query.recentProgress
-            if (m := (p["observedMetrics"] or {}).get("seen")) is not None]
-    if seen:
-        # One row a micro-batch.
-        run = _run_id(spark, checkpoint)
-        counts = spark.createDataFrame(seen, "epoch long, rows long, corrupt long").withColumn("run", F.lit(run))
-        counts.coalesce(1).write.mode("append").parquet(f"{root}/seen")
+    return query
 
 
 def _run_id(spark: SparkSession, checkpoint: str) -> str:
@@ -169,13 +245,13 @@ def _run_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def run_available(spark: SparkSession, input_dir: str, root: str, run_ts: dt.datetime,
-                  max_files_per_trigger: int = 1000, checkpoint: str | None = None) -> None:
+                  max_files_per_trigger: int = 1000, checkpoint: str | None = None, bound: str | None = None, after_epoch=None) -> StreamingQuery:
     """``run_stream`` over the text files of a folder that the checkpoint has not seen."""
     stream = (spark.readStream.format("text")
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .option("pathGlobFilter", "*.txt")
               .load(input_dir))
-    run_stream(stream, root, run_ts, checkpoint)
+    return run_stream(stream, root, run_ts, checkpoint, bound, after_epoch)
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
@@ -186,9 +262,13 @@ def read_silver(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/silver")
 
 
+def read_corrupt(spark: SparkSession, root: str) -> DataFrame:
+    """Dead letters: payloads that could not be decoded, as they came (T5)."""
+    return spark.read.parquet(f"{root}/corrupt")
+
+
 def read_counters(spark: SparkSession, root: str) -> DataFrame:
-    """Per (run, epoch): events accepted, skipped as repeats, and corrupt (A9). Few rows: one a micro-batch."""
-    accepted = spark.read.parquet(f"{root}/accepted").select(F.col("run").cast("string").alias("run"), F.col("epoch").cast("long").alias("epoch"), "accepted")
-    seen = spark.read.parquet(f"{root}/seen").groupBy("run", "epoch").agg(F.max("rows").alias("rows"), F.max("corrupt").alias("corrupt"))
-    return accepted.join(seen, ["run", "epoch"]).select(
-        "run", "epoch", "accepted", (F.col("rows") - F.col("corrupt") - F.col("accepted")).alias("skipped"), "corrupt")
+    """Per (run, epoch) with input: events accepted, skipped as repeats, and corrupt (A9). Few rows: one a micro-batch."""
+    return spark.read.parquet(f"{root}/counters").where("rows > 0").select(
+        F.col("run").cast("string").alias("run"), F.col("epoch").cast("long").alias("epoch"), "accepted",
+        (F.col("rows") - F.col("corrupt") - F.col("accepted")).alias("skipped"), "corrupt")

@@ -3,16 +3,18 @@ import datetime as dt
 import json
 import os
 
+import pytest
+
 from fxlake.streaming import ingest as ST
 
 RUN_TS = dt.datetime(2024, 1, 1)
 
 
-def _drop(folder, name, numbers):
+def _drop(folder, name, numbers, day="2024-01-31"):
     os.makedirs(folder, exist_ok=True)
     with open(os.path.join(folder, name), "w") as f:
         for n in numbers:
-            event = {"journal_id": f"J{n}", "journal_line_num": "1", "ledger_id": "L", "effective_date": "2024-01-31T00:00:00",
+            event = {"journal_id": f"J{n}", "journal_line_num": "1", "ledger_id": "L", "effective_date": day and f"{day}T00:00:00",
                      "currency_code": "USD", "entered_dr": str(n), "fx_rate": "1", "legal_entity": "E"}
             f.write((base64.b64encode(json.dumps(event).encode()).decode() if n is not None else "%%%") + "\n")
 
@@ -40,7 +42,7 @@ def test_restart_and_replaced_checkpoint_lose_and_repeat_nothing(spark, tmp_dir)
 def test_replayed_micro_batch_overwrites_itself(spark, tmp_dir):
     inbox, root = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "lake")
     _drop(inbox, "a.txt", [1, 2])
-    rows = ST.normalise(ST.parse_events(spark.read.text(inbox)), RUN_TS, keep=["is_corrupt", "raw_value"])
+    rows = ST.branches(spark.read.text(inbox), RUN_TS)
     for _ in range(2):
         ST.process_batch(spark, rows, "r1", 0, root, RUN_TS)
     assert _bronze(spark, root) == ["J1", "J2"]
@@ -55,3 +57,62 @@ def test_any_streaming_source(spark, tmp_dir):
         pass
     assert ST.read_bronze(spark, root).count() == 0
     assert spark.read.parquet(os.path.join(root, "corrupt")).count() > 0
+
+
+def _counters(spark, root):
+    return sorted((r.epoch, r.accepted, r.skipped, r.corrupt) for r in ST.read_counters(spark, root).collect())
+
+
+@pytest.mark.parametrize("bound", [None, "10 days"])
+def test_a_crash_in_any_epoch_loses_no_counter(spark, tmp_dir, bound):
+    """Three micro-batches; the outputs of one are written, but its commit never comes. The restart repeats it."""
+    want = [(0, 3, 1, 1), (1, 2, 2, 0), (2, 1, 1, 1)]
+    for dies in range(3):
+        inbox, root = os.path.join(tmp_dir, f"in{dies}"), os.path.join(tmp_dir, f"lake{dies}")
+        for k, numbers in enumerate([[1, 2, 3, 3, None], [2, 4, 5, 5], [1, 6, None]]):
+            _drop(inbox, f"{k}.txt", numbers)
+            os.utime(os.path.join(inbox, f"{k}.txt"), (1_700_000_000 + k, 1_700_000_000 + k))
+
+        def die(epoch):
+            if epoch == dies:
+                raise RuntimeError("killed")
+
+        with pytest.raises(Exception, match="killed"):
+            ST.run_available(spark, inbox, root, RUN_TS, max_files_per_trigger=1, bound=bound, after_epoch=die)
+        ST.run_available(spark, inbox, root, RUN_TS, max_files_per_trigger=1, bound=bound)
+        assert _counters(spark, root) == want
+        assert _bronze(spark, root) == [f"J{n}" for n in range(1, 7)]
+        assert ST.read_corrupt(spark, root).count() == 2
+
+
+def test_dead_letters_stay_out_of_the_state(spark, tmp_dir):
+    inbox, root = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "lake")
+    _drop(inbox, "a.txt", [1, 2, 2, None, None])
+    query = ST.run_available(spark, inbox, root, RUN_TS)
+    assert [s.numRowsTotal for s in query.lastProgress.stateOperators] == [2]
+    _drop(inbox, "b.txt", [None] * 50 + [3])
+    query = ST.run_available(spark, inbox, root, RUN_TS)
+    assert [s.numRowsTotal for s in query.lastProgress.stateOperators] == [3]
+    assert ST.read_corrupt(spark, root).count() == 52
+    # A replaced checkpoint reads everything again and adds no dead letter.
+    ST.run_available(spark, inbox, root, RUN_TS, checkpoint=os.path.join(tmp_dir, "second"))
+    assert ST.read_corrupt(spark, root).count() == 52
+    assert _bronze(spark, root) == ["J1", "J2", "J3"]
+
+
+def test_bounded_state_loses_and_repeats_nothing(spark, tmp_dir):
+    """Days go on while repeats of old events and old events never seen before come late, also without a date."""
+    inbox, root = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "lake")
+    totals = []
+    for k in range(12):
+        _drop(inbox, f"{k}.txt", range(10 * k, 10 * k + 10), day=f"2024-{k + 1:02d}-15")
+        totals.append(ST.run_available(spark, inbox, root, RUN_TS, bound="20 days").lastProgress.stateOperators[0].numRowsTotal)
+    assert max(totals[2:]) <= 20
+    _drop(inbox, "late.txt", [*range(0, 10), 500, 500], day="2024-01-15")
+    _drop(inbox, "none.txt", [600, 600], day="")
+    ST.run_available(spark, inbox, root, RUN_TS, bound="20 days")
+    _drop(inbox, "again.txt", [500, 3], day="2024-01-15")
+    _drop(inbox, "none2.txt", [600, 601], day="")
+    ST.run_available(spark, inbox, root, RUN_TS, bound="20 days")
+    assert _bronze(spark, root) == sorted(f"J{n}" for n in [*range(120), 500, 600, 601])
+    assert [c[1:] for c in _counters(spark, root)][12:] == [(2, 12, 0), (1, 3, 0)]
