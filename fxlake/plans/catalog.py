@@ -28,6 +28,7 @@ from fxlake.operators.dedup import keep_one_per_key
 from fxlake.operators.quality import quarantine_split as split_valid
 from fxlake.session import checkpoint_dir, configure, input_fingerprint, lake_table, stage_table
 from fxlake.plans import flows as FL
+from fxlake.sources import commits as CM
 from fxlake.sources import files as FS
 from fxlake.streaming import ingest as ST
 from fxlake.sources.fixture import (
@@ -242,6 +243,36 @@ def booking_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return BK.booking_status(validation, validation, state, booking_audit(spark, sf_dir), counts, "MONTHLY")
 
 
+def booking_race(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two booking runs at once, the second within the first one's attempt: how often each batch is posted, and what the runs say."""
+    import datetime as dt
+
+    root = _scratch(spark, "race")
+    entries, reqs, accepted, _ = _approvals(spark, sf_dir)
+    state = stage_table(AP.current_state(reqs, accepted), "race-state")
+    validation = stage_table(V.gate_summary(entries, account_reference(spark, sf_dir)), "race-gate")
+    counts = validation.select("batch_id", F.col("n_lines").alias("line_count"))
+    before = stage_table(booking_audit(spark, sf_dir).select("journal_batch_id", "status"), "race-audit")
+
+    def decide() -> DataFrame:
+        audit = before.unionByName(FL.read_audit(spark, root).select("journal_batch_id", "status"))
+        return BK.booking_status(validation, validation, state, audit, counts, "MONTHLY")
+
+    def post(label: str, before_commit=None) -> DataFrame:
+        rows = lambda status: {"audit": BK.audit_rows(status, "MONTHLY", state, dt.datetime(2024, 1, 1), label)}
+        return CM.commit_once(spark, root, decide, rows, before_commit=before_commit).select("batch_id", F.lit(label).alias("run"), "status")
+
+    inner: list[DataFrame] = []
+
+    def other() -> None:
+        if not inner:
+            inner.append(post("second"))
+
+    first = post("first", other)
+    posted = FL.read_audit(spark, root).groupBy(F.col("journal_batch_id").alias("batch_id")).agg(F.count(F.lit(1)).alias("n_posted"))
+    return first.unionByName(inner[0]).join(posted, "batch_id", "left").fillna(0, ["n_posted"])
+
+
 def idempotent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per batch: keys accepted (new to the registry) and rows skipped.
 
@@ -361,7 +392,7 @@ def _drop_events(spark: SparkSession, sf_dir: str, inbox: str, *parts) -> None:
     """Drop the events of each condition into ``inbox`` as one file, one after the other; None is a payload that can't be read."""
     events = event_payloads(spark, sf_dir, keep=["event_id", "ts"])
     for where in parts:
-        values = spark.createDataFrame([("%%% not base64 %%%",)], "value string") if where is None else events.where(where).select("value").coalesce(1)
+        values = spark.createDataFrame([("%%% not base64 %%%",)], "value string").coalesce(1) if where is None else events.where(where).select("value").coalesce(1)
         values.write.mode("append").text(inbox)
 
 
@@ -572,6 +603,7 @@ _QUERIES = {
     "approval_state": approval_state,
     "approval_rejected_decisions": approval_rejected_decisions,
     "booking_status": booking_status,
+    "booking_race": booking_race,
     "idempotent_ingest": idempotent_ingest,
     "roundtrip_csv": roundtrip_csv,
     "roundtrip_json_wrapped": roundtrip_json_wrapped,

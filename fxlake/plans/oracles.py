@@ -612,3 +612,9 @@ FROM entries WHERE batch_id = 'je-quarterly-1995-03-31' GROUP BY 1, 2, 3, 4"""),
     "duplicate_lines": with_ctes(*SILVER, body="""
 SELECT batch_id, delivery, count(*) AS n_rows FROM ranked WHERE rn > 1 GROUP BY 1, 2"""),
 })
+
+#: The second run commits first; the first one decides anew and finds every batch posted.
+ORACLES["booking_race"] = f"""
+SELECT batch_id, run, CASE WHEN run = 'first' AND status = 'POSTED' THEN 'ALREADY_BOOKED' ELSE status END AS status,
+       CAST(CASE WHEN status = 'POSTED' THEN 1 ELSE 0 END AS BIGINT) AS n_posted
+FROM ({ORACLES['booking_status']}), (VALUES ('first'), ('second')) r(run)"""

@@ -83,7 +83,7 @@ def is_missing(exc: Exception) -> bool:
 
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a folder of a table, if it exists, through the file system that holds it."""
-    fs, p = _hadoop_path(spark, path)
+    fs, p = hadoop_path(spark, path)
     return bool(fs.exists(p) and fs.delete(p, True))
 
 
@@ -127,7 +127,8 @@ def _code_version() -> str:
     return h.hexdigest()
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of ``path``, and the path as it wants it."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
@@ -138,7 +139,7 @@ def input_fingerprint(spark: SparkSession, *paths: str) -> str:
     h = hashlib.sha1(_code_version().encode())
     try:
         for path in paths:
-            fs, p = _hadoop_path(spark, path)
+            fs, p = hadoop_path(spark, path)
             files = fs.listFiles(p, True)
             found = []
             while files.hasNext():
@@ -160,7 +161,7 @@ def lake_table(spark: SparkSession, name: str, fingerprint: str, build) -> DataF
     """
     path = f"{checkpoint_dir(spark)}/tables/{name}-{fingerprint}"
     try:
-        fs, marker = _hadoop_path(spark, f"{path}/_SUCCESS")
+        fs, marker = hadoop_path(spark, f"{path}/_SUCCESS")
         present = fs.exists(marker)
     except Exception:  # noqa: BLE001 - no JVM gateway (e.g. a remote session): cut lineage only
         return stage_table(build(), name)
@@ -168,8 +169,8 @@ def lake_table(spark: SparkSession, name: str, fingerprint: str, build) -> DataF
         # Built aside, then published by one rename: of two sessions that build it, one wins and both read it whole.
         aside = f"{path}-{uuid.uuid4().hex}"
         build().write.parquet(aside)
-        _, target = _hadoop_path(spark, path)
-        _, source = _hadoop_path(spark, aside)
+        _, target = hadoop_path(spark, path)
+        _, source = hadoop_path(spark, aside)
         if fs.exists(marker) or not fs.rename(source, target):
             fs.delete(source, True)
     return spark.read.parquet(path)

@@ -80,3 +80,39 @@ def test_gold_batch_prunes_partitions(spark, tmp_dir):
     rows = gold.collect()
     assert [r.surrogate_key for r in rows] == ["k2"] and rows[0].gold_timestamp is not None
     assert gold.columns[:24] == FS.CANONICAL_SCHEMA.fieldNames()
+
+
+def test_mixed_shapes_in_one_pass(spark, tmp_dir):
+    """Lines, documents, broken text and empty files in one folder: whole files and, with a small limit, the large-file path agree."""
+    line = {"journal_id": "J1", "entered_dr": "1.50", "ledger_id": "L"}
+    files = {"bare.json": json.dumps([line, line], indent=1), "lines.json": "\n".join([json.dumps(line), "oops", "", json.dumps({"records": [line]})]),
+             "crlf.json": json.dumps(line) + "\r\n" + json.dumps(line) + "\r\n", "mostly.json": "# a comment\n" + "\n".join([json.dumps(line)] * 3),
+             "wrapped.json": json.dumps({"journal_lines": [line]}, indent=2), "empty.json": "", "blank.json": "\n \n", "other.json": '{"foo": 1}',
+             "bad.json": '{"journal_id": "J1",\n "entered_dr":', "numbers.json": "[1, 2]"}
+    for name, text in files.items():
+        with open(os.path.join(tmp_dir, name), "w", newline="") as f:
+            f.write(text)
+
+    def found(**options):
+        rows = FS.with_file_batch_id(FS.read_json_batch(spark, tmp_dir, **options)).collect()
+        return sorted((r.batch_id, r.journal_id or "", r.entered_dr or "") for r in rows)
+
+    good = ("J1", "1.50")
+    want = sorted([("bare", *good)] * 2 + [("lines", *good)] * 2 + [("lines", "", "")] + [("crlf", *good)] * 2 + [("mostly", "", "")] + [("mostly", *good)] * 3
+                  + [("wrapped", *good), ("bad", "", ""), ("numbers", "", "")])
+    assert found() == want
+    assert [r for r in found(whole_bytes=20) if r[0] in ("bare", "lines", "crlf", "wrapped")] == [r for r in want if r[0] in ("bare", "lines", "crlf", "wrapped")]
+
+
+def test_json_files_are_read_once(spark, tmp_dir):
+    for k in range(3):
+        with open(os.path.join(tmp_dir, f"{k}.json"), "w") as f:
+            f.write("\n".join(json.dumps({"journal_id": f"J{n}"}) for n in range(50)))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("one-pass", "read")
+    df = FS.read_json_batch(spark, tmp_dir)
+    listed = len(tracker.getJobIdsForGroup("one-pass"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "FileScan json" not in plan
+    assert df.count() == 150 and listed <= 1
+    spark.sparkContext.setJobGroup("", "")
