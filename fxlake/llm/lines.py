@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fxlake.llm.marks import with_marks
-from fxlake.llm.text import small_batches
+from fxlake.llm.text import released, small_batches
 from fxlake.session import stage_table
 
 MIN_POINTS = 40
@@ -44,6 +44,7 @@ def line_key(line: str) -> bytes | None:
     return blake2b(key.encode().lower(), digest_size=16).digest() if len(key) >= MIN_POINTS else None
 
 
+@released
 def _keys(batches):
     for b in batches:
         out: list[list] = [[], [], [], [], []]
@@ -90,6 +91,7 @@ class _Run:
             out.append((self.key, None, None, None, None, COUNT, self.n_docs, self.max_doc))
 
 
+@released
 def _stream(batches, min_docs: int):
     schema = pa.schema([("key", pa.binary()), ("doc", pa.int64()), ("row", pa.int64()), ("pos", pa.int32()),
                         ("n_lines", pa.int32()), ("state", pa.int32()), ("n_docs", pa.int64()), ("max_doc", pa.int64())])
@@ -171,6 +173,7 @@ def apply_bitmaps(documents: DataFrame, bitmaps: DataFrame, id_col: str = "doc_i
               .select("row", "text", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), "keep_bitmap"))
     schema = joined.select("row", "text", F.lit(0).cast("long").alias("n_lines"), "n_dropped").schema
 
+    @released
     def cut(batches):
         for b in batches:
             texts, n_lines = b.column(1).to_pylist(), []

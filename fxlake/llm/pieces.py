@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
-from fxlake.llm.text import U64, buffer, mix, slices, small_batches
+from fxlake.llm.text import U64, buffer, mix, released, slices, small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED, DROPOUT = 17, 0.1
@@ -36,7 +36,7 @@ SPACE = "▁"
 #: Widths of the arrays that chunks are merged in, and cells of one such array.
 WIDTHS, ROW_CELLS = (5, 8, 12, 18, 40, 96), 1 << 18
 #: Bytes of text worked through at once; one text is never cut.
-SLICE = 1 << 19
+SLICE = 1 << 18
 
 
 @dataclass
@@ -342,8 +342,8 @@ class Encoder:
         count = np.bincount(row, minlength=n_kinds)
         first = np.cumsum(count) - count
         out = np.zeros(len(kind), bool)
-        for a in range(0, len(kind), 1 << 16):
-            k, key = kind[a: a + (1 << 16)], keys[a: a + (1 << 16)]
+        for a in range(0, len(kind), 1 << 14):
+            k, key = kind[a: a + (1 << 14)], keys[a: a + (1 << 14)]
             spot = _gather(first[k], count[k])
             whose = np.repeat(np.arange(len(k)), count[k])
             skip = _skipped(key[whose], left[spot], right[spot], at[spot], self.threshold)
@@ -413,6 +413,7 @@ def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long")).alias("doc"))
     schema = StructType([df.schema["row"]]).add("ids", ArrayType(IntegerType()))
 
+    @released
     def run(batches):
         encoder = _encoder(shared.value, path, seed, dropout)
         for b in slices(batches, "text", SLICE):
@@ -428,6 +429,7 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     schema = StructType([*encoded.schema.fields]).add("decoded", StringType())
     at = encoded.columns.index("ids")
 
+    @released
     def run(batches):
         surface = shared.value
         for b in batches:
@@ -451,6 +453,7 @@ def round_trip(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
     schema = (StructType([df.schema[id_col]]).add("n_pieces", "long").add("ids_sha256", "string").add("lossless", "boolean")
               .add("ids", ArrayType(IntegerType())))
 
+    @released
     def run(batches):
         encoder = _encoder(shared.value, path, seed, dropout)
         for b in slices(batches, "text", SLICE):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from fxlake.llm.text import NOT_SPACE, U64, Words, mix, per_text, slices, small_batches
+from fxlake.llm.text import NOT_SPACE, U64, Words, mix, per_text, released, slices, small_batches
 
 BUCKETS = 1 << 16
 SAMPLE_PER_CLASS = 1500
@@ -76,6 +76,7 @@ def margins(words: Words, model: Model) -> np.ndarray:
     return z
 
 
+@released
 def _sparse_rows(batches):
     """(good, held, features, values) of labelled texts."""
     for b in slices(batches, "text"):
@@ -201,6 +202,7 @@ def judge(documents: DataFrame, model: Model | None, id_col: str = "doc_id", tex
     df = documents.select(id_col, F.col(text_col).alias("text"))
     schema = StructType([df.schema[id_col], *StructType.fromDDL(_SCHEMA).fields])
 
+    @released
     def run(batches):
         for b in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([b.column(0), *_judged(b.column(1), shared.value)], schema.names)
@@ -215,6 +217,7 @@ def clean(documents: DataFrame, labels: DataFrame, text_col: str = "text", **opt
     # Names may clash in any way: columns go by place.
     plain = documents.toDF(*[f"c{k}" for k in range(len(documents.columns))])
 
+    @released
     def run(batches):
         for b in slices(batches, f"c{at}"):
             yield b.filter(_judged(b.column(at), shared.value)[-1])

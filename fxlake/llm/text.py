@@ -8,16 +8,19 @@ and windows carry 64-bit polynomial hashes (taken from prefix sums, then mixed).
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
 
 U64 = np.uint64
 
-ROWS_PER_BATCH = 2000
+ROWS_PER_BATCH = 1000
 _ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -41,6 +44,21 @@ ALNUM[0x30:0x3A] = True
 ALNUM[0x61:0x7B] = True
 
 
+def released(work: Callable) -> Callable:
+    """``work`` on a task's batches; what it leaves unused goes back to the system, as workers are kept for later tasks."""
+    @functools.wraps(work)
+    def run(*args):
+        try:
+            yield from work(*args)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return run
+
+
 def _pow(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of ``base`` and of its inverse modulo 2^64, at least ``n`` of each."""
     have = _powers.get(base)
