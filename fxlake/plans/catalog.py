@@ -551,6 +551,75 @@ def roundtrip_trial_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TB.read_trial_balance(spark, root)
 
 
+def roundtrip_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference values written as the lists of a JSON document and read by the library."""
+    root = _scratch(spark, "reference")
+    lists = account_reference(spark, sf_dir).agg(F.collect_list("value").alias("accounts"), F.array().cast("array<string>").alias("entities"))
+    lists.select(F.to_json(F.struct("accounts", "entities")).alias("value")).write.text(root)
+    return FS.read_reference_values(spark, root)
+
+
+def booked_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarterly entries and booked lines written by their sinks and read back: rows and totals per batch."""
+    root = _scratch(spark, "booked")
+    entries = _entries(spark, sf_dir, "QUARTERLY")
+    FS.write_entries(entries, f"{root}/entries")
+    FS.write_booked(aggregate_for_period(entries.drop("is_fallback"), "QUARTERLY"), f"{root}/booked")
+    parts = [spark.read.parquet(f"{root}/{sink}").groupBy("period_type", "batch_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("accounted_dr").cast("decimal(38,4)").alias("accounted_dr")).select(
+            F.lit(sink).alias("sink"), "period_type", "batch_id", "n_rows", "accounted_dr") for sink in ("entries", "booked")]
+    return parts[0].unionByName(parts[1])
+
+
+def entry_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries upserted by key in three runs, the second with changed amounts of half of them, the third with those again."""
+    root = _scratch(spark, "upserts")
+    rows = _entries(spark, sf_dir).select("surrogate_key", "batch_id", "geo", "accounted_dr")
+    changed = rows.where(F.substring("surrogate_key", 1, 1) < "8").withColumn("accounted_dr", (F.col("accounted_dr") + 1).cast("decimal(20,4)"))
+    for new in (rows, changed, changed):
+        FS.upsert_entries(spark, root, new)
+    return spark.read.parquet(root).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("accounted_dr").cast("decimal(38,4)").alias("accounted_dr"))
+
+
+def issue_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of the batches that failed the validation gate, with their source object and counts, read back from the sink."""
+    root = _scratch(spark, "reports")
+    summary = V.gate_summary(silver_lines(spark, sf_dir), account_reference(spark, sf_dir))
+    sources = summary.select("batch_id", F.concat(F.lit("s3://landing/in/"), "batch_id", F.lit(".json")).alias("source_path"))
+    FS.write_report_summary(summary, root, "mec", sources)
+    return FS.read_report_summary(spark, root).select(
+        "gate", "batch_id", "source_bucket", "source_key", "checks_run", "checks_passed", "checks_failed",
+        "n_completeness_issues", "n_balance_issues", "n_segment_issues")
+
+
+def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON file a batch dropped in the landing folder, taken by the landing flow: rows per sink of each file."""
+    import datetime as dt
+
+    from fxlake.session import hadoop_path
+
+    root = _scratch(spark, "landed")
+    raw = _typed_lines(spark, sf_dir)
+    lines = raw.select("batch_id", F.to_json(F.struct(*[c for c in raw.columns if c != "batch_id"])).alias("value"))
+    lines.repartition("batch_id").write.partitionBy("batch_id").text(f"{root}/aside")
+    fs, aside = hadoop_path(spark, f"{root}/aside")
+    _, landing = hadoop_path(spark, f"{root}/landing")
+    fs.mkdirs(landing)
+    # One file a batch, that is a year.
+    files = fs.listFiles(aside, True)
+    while files.hasNext():
+        path = files.next().getPath()
+        if path.getName().startswith("part-"):
+            batch = path.getParent().getName().removeprefix("batch_id=")
+            fs.rename(path, hadoop_path(spark, f"{root}/landing/{batch}.json")[1])
+    FL.landing_flow(spark, f"{root}/landing", f"{root}/lake", run_ts=dt.datetime(2024, 1, 1))
+    # A second run finds nothing new.
+    FL.landing_flow(spark, f"{root}/landing", f"{root}/lake", run_ts=dt.datetime(2024, 1, 1))
+    gold = FS.read_silver(spark, f"{root}/lake/gold").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    bad = spark.read.schema("batch_id string").json(f"{root}/lake/quarantine").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    return gold.select("batch_id", F.lit("gold").alias("sink"), "n").unionByName(bad.select("batch_id", F.lit("quarantine").alias("sink"), "n"))
+
+
 def entries_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries of the one quarter that ends in March 1995 (P15): lines and totals per source and geo."""
     e = generate(silver_lines(spark, sf_dir), "QUARTERLY", geos=FIXTURE_GEOS, effective_date="1995-03-31")
@@ -623,6 +692,11 @@ _QUERIES = {
     "gold_one_batch": gold_one_batch,
     "roundtrip_trial_balance": roundtrip_trial_balance,
     "entries_window": entries_window,
+    "roundtrip_reference": roundtrip_reference,
+    "booked_sinks": booked_sinks,
+    "entry_upserts": entry_upserts,
+    "issue_reports": issue_reports,
+    "landed_files": landed_files,
     "duplicate_lines": duplicate_lines,
 }
 

@@ -618,3 +618,22 @@ ORACLES["booking_race"] = f"""
 SELECT batch_id, run, CASE WHEN run = 'first' AND status = 'POSTED' THEN 'ALREADY_BOOKED' ELSE status END AS status,
        CAST(CASE WHEN status = 'POSTED' THEN 1 ELSE 0 END AS BIGINT) AS n_posted
 FROM ({ORACLES['booking_status']}), (VALUES ('first'), ('second')) r(run)"""
+
+ORACLES.update({
+    "roundtrip_reference": """
+SELECT DISTINCT 'segment3_account' AS segment, p_type AS value FROM part WHERE p_type <> 'MEDIUM'""",
+    "booked_sinks": f"""
+SELECT 'entries' AS sink, 'QUARTERLY' AS period_type, batch_id, count(*) AS n_rows, CAST(sum(accounted_dr) AS DECIMAL(38,4)) AS accounted_dr
+FROM ({with_ctes(*SILVER, entries_cte("QUARTERLY"), body="SELECT batch_id, accounted_dr FROM entries")}) GROUP BY batch_id
+UNION ALL SELECT 'booked', 'QUARTERLY', batch_id, count(*), CAST(sum(accounted_dr) AS DECIMAL(38,4)) FROM ({ORACLES['book_quarterly']}) GROUP BY batch_id""",
+    "entry_upserts": with_ctes(*MONTHLY, body="""
+SELECT batch_id, count(*) AS n_rows, CAST(sum(v + CASE WHEN substr(surrogate_key, 1, 1) < '8' THEN 1 ELSE 0 END) AS DECIMAL(38,4)) AS accounted_dr
+FROM (SELECT batch_id, surrogate_key, geo, min(accounted_dr) AS v FROM entries GROUP BY 1, 2, 3) GROUP BY batch_id"""),
+    "issue_reports": f"""
+SELECT 'mec' AS gate, batch_id, 'landing/in' AS source_bucket, batch_id || '.json' AS source_key, checks_run, checks_passed, checks_failed,
+       n_completeness_issues, n_balance_issues, n_segment_issues
+FROM ({ORACLES['mec_summary']}) WHERE NOT is_valid""",
+    "landed_files": with_ctes(RAW, _AR_CANON, VALID, _BATCH_DEDUP, body="""
+SELECT batch_id, 'gold' AS sink, count(*) AS n FROM bsilver GROUP BY 1
+UNION ALL SELECT batch_id, 'quarantine', count(*) FROM classified WHERE quarantine_reason <> '' GROUP BY 1"""),
+})
