@@ -36,7 +36,7 @@ OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 # Generators: kind and pattern.
 GENERATORS = [
     ("email", r"[A-Za-z0-9._%+-]{1,64}(?:@|\x20?(?:\[at\]|\(at\))\x20?|\x20at\x20)[A-Za-z0-9-]{1,63}(?:(?:\.|\x20?(?:\[dot\]|\(dot\))\x20?|\x20dot\x20)[A-Za-z0-9-]{1,63}){1,6}",
-     "(contains(text, '@') OR contains(text, '[at]') OR contains(text, '(at)') OR contains(text, ' dot '))"),
+     r"(contains(text, '@') OR contains(text, '[at]') OR contains(text, '(at)') OR contains(text, ' at ') AND text RLIKE ' at [A-Za-z0-9-]+(\\.| ?[\\[(]?dot)')"),
     ("ip", r"(?<![0-9])[0-9]{1,4}(?:\.[0-9]{1,4}){3}(?![0-9])", r"text RLIKE '[0-9]\\.[0-9]'"),
     ("card", r"(?<![0-9])[0-9]{4}(?:[\x20.-]?[0-9]{4}){3}(?:[0-9]{0,3})(?![0-9])", "text RLIKE '[0-9]{4}'"),
     ("phone", r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?(?:[\x20.-]?[0-9]{2,4}){2,3}(?![0-9])", "contains(text, '+')"),

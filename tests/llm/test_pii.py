@@ -85,3 +85,10 @@ def test_parts_of_zeros_are_addresses(spark):
     assert sorted((d, c[1]) for d, c, _, _, _ in got) == [(0, 1), (1, 2), (2, 3), (3, 0)]
     assert {d: sorted((k, a, b) for k, a, b in f if k == "ip") for d, _, _, _, f in got} == {
         d: [x for x in brute(t) if x[0] == "ip"] for d, t in documents}
+
+
+def test_the_filter_of_the_mail_generator_loses_no_candidate(spark):
+    texts = ["write to john at example.com now", "john at example dot com", "john at example (dot) com", "john at example[dot]com", "a[at]b.c", "a (at) b.c", "a@b.c"]
+    base = pii.with_base(make(spark, list(enumerate(texts))), "doc_id", "text")
+    found = {r.doc: [c.hit for c in r.candidates if c.kind == "email"] for r in pii.with_candidates(base).collect()}
+    assert all(found[k] for k in range(len(texts)))
