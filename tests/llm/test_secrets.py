@@ -53,6 +53,36 @@ def test_model_adds_random_strings_only(spark):
         assert set(brute(text)) <= set(got[d][4])
 
 
+def test_planted_strings_of_many_shapes(spark):
+    """Documents with only hexadecimal base values: the model tells random strings from names, paths, constants, numbers and UUIDs."""
+    r = random.Random(5)
+    vocabulary = ["".join(r.choice(["con", "ta", "ver", "lo", "min", "der", "ing", "sub", "pre", "ner", "est"]) for _ in range(r.randrange(2, 5))) for _ in range(300)]
+    hexes = "0123456789abcdef"
+    documents = [(k, f"{' '.join(r.choice(vocabulary) for _ in range(40))} token={''.join(r.choice(hexes) for _ in range(24))}") for k in range(200)]
+    b62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    b64 = b62 + "+/"
+
+    def uuid():
+        h = "".join(r.choice(hexes) for _ in range(32))
+        return f"{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}"
+
+    w = lambda: r.choice(vocabulary)
+    secret = [lambda: "".join(r.choice(b62) for _ in range(r.randrange(20, 45))), lambda: "".join(r.choice(b64) for _ in range(40)),
+              lambda: "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(32)), lambda: "".join(r.choice("0123456789ABCDEF") for _ in range(32))]
+    plain = [uuid, lambda: f"src/main/java/{w()}/{w()}/{w().title()}", lambda: f"MAX_{w().upper()}_POOL_{w().upper()}={r.randrange(1000)}",
+             lambda: f"{w()}{w().title()}{w().title()}Factory", lambda: f"/usr/local/{w()}/{w()}-{r.randrange(10)}",
+             lambda: str(r.randrange(10 ** 17, 10 ** 18)), lambda: "-" * r.randrange(16, 60), lambda: f"{w()}-{w()}-2024-05-{r.randrange(10, 28)}"]
+    planted = {1000 + k: secret[k % 4]() for k in range(200)}
+    clean = {2000 + k: plain[k % 8]() for k in range(400)}
+    documents += [(d, f"see {s} in {w()}") for d, s in {**planted, **clean}.items()]
+    frame = make(spark, documents)
+    got = {x[0]: x[4] for x in rows(frame, model=secrets.train(frame))}
+    right = [d for d, s in planted.items() if ("random", 4, 4 + len(s)) in got[d]]
+    wrong = [s for d, s in clean.items() if any(k == "random" for k, _, _ in got[d])]
+    assert len(right) >= 0.8 * len(planted), len(right)
+    assert len(right) >= 0.95 * (len(right) + len(wrong)), wrong
+
+
 def test_empty(spark, awkward):
     assert secrets.train(make(spark, [])) is None
     assert rows(make(spark, [])) == []
