@@ -26,6 +26,7 @@ from fxlake.operators.period import aggregate_for_period
 from fxlake.operators.canonical import DEFAULT_RUN_TS, canonicalize, complete_schema, gold_batch
 from fxlake.operators.dedup import keep_one_per_key
 from fxlake.operators.quality import quarantine_split as split_valid
+from fxlake.schema import ORDINAL
 from fxlake.session import checkpoint_dir, configure, input_fingerprint, lake_table, stage_table
 from fxlake.plans import flows as FL
 from fxlake.sources import commits as CM
@@ -559,6 +560,18 @@ def roundtrip_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FS.read_reference_values(spark, root)
 
 
+def issue_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CSV file a batch, lines in the order of their columns; findings of the gate on lines, with the row of the file."""
+    root = _scratch(spark, "ordinals")
+    lines = _typed_lines(spark, sf_dir).withColumn("year", F.substring("batch_id", 2, 4).cast("int"))
+    order = [c for c in lines.columns if c not in ("year", "batch_id")]
+    (lines.repartition("year").sortWithinPartitions("year", *order).write.partitionBy("year")
+        .option("header", True).option("nullValue", NULL_MARKER).csv(root))
+    read = FS.with_ordinals(FS.read_csv_batch(spark, root, null_value=NULL_MARKER, positions=True))
+    found = V.issues(canonicalize(read, batch_id=None, keep=[ORDINAL]), account_reference(spark, sf_dir))
+    return found.where(F.col(ORDINAL).isNotNull()).select("batch_id", ORDINAL, "journal_id", "journal_line_num", "issue_type", "column", "detail")
+
+
 def booked_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarterly entries and booked lines written by their sinks and read back: rows and totals per batch."""
     root = _scratch(spark, "booked")
@@ -698,6 +711,7 @@ _QUERIES = {
     "issue_reports": issue_reports,
     "landed_files": landed_files,
     "duplicate_lines": duplicate_lines,
+    "issue_ordinals": issue_ordinals,
 }
 
 QUERIES = {k: _configured(v) for k, v in _QUERIES.items()}

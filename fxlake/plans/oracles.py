@@ -637,3 +637,19 @@ FROM ({ORACLES['mec_summary']}) WHERE NOT is_valid""",
 SELECT batch_id, 'gold' AS sink, count(*) AS n FROM bsilver GROUP BY 1
 UNION ALL SELECT batch_id, 'quarantine', count(*) FROM classified WHERE quarantine_reason <> '' GROUP BY 1"""),
 })
+
+_FILE_ORDER = ", ".join(f"{c} NULLS FIRST" for c in (
+    "journal_id", "line_num", "ledger_id", "acct_date", "currency_code", "entered_dr", "entered_cr", "accounted_dr", "accounted_cr", "fx_rate",
+    *SEGMENT_COLUMNS[:-1], "description"))
+_NUMBERED = f"""
+numbered AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY {_FILE_ORDER}) AS row_ordinal FROM raw)"""
+_LINE = "batch_id, row_ordinal, journal_id, journal_line_num"
+ORACLES["issue_ordinals"] = with_ctes(
+    RAW, _NUMBERED, _AR_CANON.replace("geo_tag, delivery\n  FROM raw", "geo_tag, delivery, row_ordinal\n  FROM numbered"), ACCOUNT_REF, f"""
+segs AS (UNPIVOT (SELECT {_LINE}, {", ".join(f"coalesce({c}, '') AS {c}" for c in SEGMENT_COLUMNS)} FROM canon)
+  ON {", ".join(SEGMENT_COLUMNS)} INTO NAME segment VALUE value)""", body=f"""
+SELECT {_LINE}, 'null_violation' AS issue_type, {_blank_list(NON_NULLABLE_COLUMNS)} AS "column", CAST(NULL AS VARCHAR) AS detail
+FROM canon WHERE {_blank_list(NON_NULLABLE_COLUMNS)} <> ''
+UNION ALL
+SELECT {_LINE}, 'segment_violation', segment, CASE WHEN trim(value) = '' THEN '<empty>' ELSE value END
+FROM segs WHERE trim(value) = '' OR segment IN (SELECT segment FROM ref) AND NOT EXISTS (SELECT 1 FROM ref r WHERE r.segment = segs.segment AND r.value = segs.value)""")

@@ -114,6 +114,9 @@ CANONICAL_SCHEMA = T.StructType(
 CANONICAL_TYPES = {f.name: f.dataType for f in CANONICAL_SCHEMA.fields}
 
 # Issue report schema shared by every validation check.
+#: The place of a row in its source file, from 1.
+ORDINAL = "row_ordinal"
+
 ISSUE_SCHEMA = T.StructType([
     T.StructField("batch_id", T.StringType()),
     T.StructField("check", T.StringType()),

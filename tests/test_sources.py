@@ -116,3 +116,28 @@ def test_json_files_are_read_once(spark, tmp_dir):
     assert plan.count("FileScan text") == 1 and "FileScan json" not in plan
     assert df.count() == 150 and listed <= 1
     spark.sparkContext.setJobGroup("", "")
+
+
+def test_ordinals_over_splits_files_and_shapes(spark, tmp_dir):
+    """Files of many splits, one with blank lines, and JSON of both shapes: each row's place in its own file."""
+    header = "journal_id,line_num,ledger_id,currency_code"
+    for name, n in (("a", 400), ("b", 3), ("empty", 0)):
+        with open(os.path.join(tmp_dir, f"{name}.csv"), "w") as f:
+            f.write("\n".join([header, *[f"{name}-{i + 1},{i % 2},L,{'X' * (i % 37)}" for i in range(n)]]) + "\n\n")
+    with open(os.path.join(tmp_dir, "c.json"), "w") as f:
+        json.dump({"journal_lines": [{"journal_id": f"c-{i + 1}"} for i in range(5)]}, f)
+    with open(os.path.join(tmp_dir, "d.json"), "w") as f:
+        f.writelines(json.dumps({"records": [{"journal_id": f"d-{2 * i + 1}"}, {"journal_id": f"d-{2 * i + 2}"}]}) + "\n" for i in range(9))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    kept = [spark.conf.get(k) for k in names]
+    try:
+        for k, v in zip(names, ("700", "1")):
+            spark.conf.set(k, v)
+        read = FS.read_batch(spark, tmp_dir, positions=True)
+        assert read.select("_source_path", "_source_block").distinct().count() > 10
+        rows = FS.with_ordinals(read).select("journal_id", "row_ordinal").collect()
+    finally:
+        for k, v in zip(names, kept):
+            spark.conf.set(k, v)
+    assert len(rows) == 400 + 3 + 5 + 18
+    assert all(r.row_ordinal == int(r.journal_id.split("-")[1]) for r in rows)
