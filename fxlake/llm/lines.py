@@ -167,7 +167,8 @@ def apply_bitmaps(documents: DataFrame, bitmaps: DataFrame, id_col: str = "doc_i
                             F.col(text_col).alias("text"), _doc_key(id_col).alias("_doc"), F.xxhash64(text_col).alias("_row"))
     # Texts that lose nothing stay where they are; the others meet their bitmaps.
     marked = with_marks(body, bitmaps.select("doc", "row"), F.col("_doc"), F.col("_row"))
-    met = marked.where("_marked").drop("_marked").join(maps, (F.col("_doc") == F.col("_d")) & (F.col("_row") == F.col("_r")), "left")
+    # The bitmaps grow with the input, so they are never collected for a broadcast: the plan is the same at every size.
+    met = marked.where("_marked").drop("_marked").join(maps.hint("merge"), (F.col("_doc") == F.col("_d")) & (F.col("_row") == F.col("_r")), "left")
     whole = marked.where("NOT _marked").drop("_marked").withColumns({"n_dropped": F.lit(None).cast("int"), "keep_bitmap": F.lit(None).cast("binary")})
     joined = (met.select(*whole.columns).union(whole)
               .select("row", "text", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), "keep_bitmap"))

@@ -59,3 +59,10 @@ def test_dedup_keeps_columns(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_texts_meet_their_bitmaps_by_the_same_join_at_every_size(spark):
+    """A broadcast of few bitmaps would give way to a shuffle of the texts as they grow."""
+    frame = make(spark, [(k, prose(3, 20)) for k in range(8)])
+    plan = lines.apply_bitmaps(frame, lines.keep_bitmaps(frame))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
