@@ -3,11 +3,14 @@
 import glob
 import os
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fxlake.operators import approval as AP
 from fxlake.operators import dedup as D
+from fxlake.operators import entries as E
 from fxlake.operators import numbering as N
+from fxlake.operators import period as P
 from fxlake.operators import validate as V
 from fxlake.plans import catalog, journal
 from fxlake.schema import SEGMENT_COLUMNS
@@ -100,3 +103,70 @@ def test_sinks_shuffle_no_digests_that_the_columns_give_and_keep_others(spark, t
         FS.write_silver(df, f"{tmp_dir}/{k}")
         back = spark.read.schema(df.schema).parquet(f"{tmp_dir}/{k}").select(*df.columns)
         assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+
+
+def test_hashes_are_made_for_rows_of_repeated_keys_alone(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def digest(v):
+        made.add(1)
+        return f"h{v}"
+
+    df = spark.createDataFrame([(str(k % 95), k) for k in range(100)], "k string, v int").localCheckpoint()
+    late = {"payload_hash": F.udf(digest, "string")("v")}
+    out = D.keep_one_per_key(df, "k", ["payload_hash"], late, keep=["k", "payload_hash"])
+    assert out.columns == ["k", "payload_hash"]
+    assert out.select("k").count() == 95 and made.value < 40
+    want = {str(k): min(f"h{v}" for v in range(k, 100, 95)) for k in range(95)}
+    assert {r.k: r.payload_hash for r in out.collect()} == want
+    whole = D.keep_one_per_key(df, "k", ["payload_hash"], late)
+    assert whole.columns == ["k", "v", "payload_hash"] and {r.k: r.payload_hash for r in whole.collect()} == want
+
+
+def test_a_line_is_shuffled_once_for_all_its_geos_and_without_its_key(spark, monkeypatch):
+    seen = []
+    number = E.number_within
+    monkeypatch.setattr(N, "ROWS_A_PARTITION", 40)
+    monkeypatch.setattr(E, "number_within", lambda df, *a, **kw: seen.append(df) or number(df, *a, **kw))
+    silver = journal.silver_lines(spark, SMOKE_DIR).withColumn(
+        "surrogate_key", F.when(F.col("journal_line_num") == 1, F.lit("own")).otherwise(F.col("surrogate_key"))).withColumn(
+        "journal_line_num", F.when(F.col("journal_line_num") > 2, F.lit(7)).otherwise(F.col("journal_line_num")))
+    lines = silver.where("effective_date >= '1998-06-01'").localCheckpoint()
+    geos = ["ASIA", "EUROPE", "ANTARCTICA"]
+    out = E.generate(lines, "MONTHLY", geos=geos)
+    assert "surrogate_key" not in seen[0].columns and "geo" not in seen[0].columns and seen[0].count() == lines.count()
+    w = Window.partitionBy("batch_id", "ledger_source", "geo").orderBy("journal_id", "journal_line_num", "surrogate_key")
+    src = lines.withColumn("batch_id", E.batch_id_for("MONTHLY", E.period_end("effective_date", 1)))
+    want = E.fan_out(src, geos, ["AP", "AR", "IC"]).withColumn("n", F.row_number().over(w)).select(
+        "batch_id", "ledger_source", "geo", "is_fallback", "n", "journal_id", "entered_dr", "description")
+    got = out.select("batch_id", "ledger_source", "geo", "is_fallback", F.col("journal_line_num").alias("n"), "journal_id",
+                     F.expr("nullif(entered_dr, 0)").alias("entered_dr"), "description")
+    assert got.count() > 500 and got.where("is_fallback").count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_groups_are_not_made_again_to_count_them(spark, monkeypatch):
+    asked = []
+    number = P.number_within
+    monkeypatch.setattr(P, "number_within", lambda *a, **kw: asked.append(kw.get("partitions")) or number(*a, **kw))
+    entries = catalog._entries(spark, SMOKE_DIR, "YEARLY").drop("is_fallback")
+    assert P.aggregate_for_period(entries, "YEARLY").count() > 0 and asked[0]
+
+
+def test_ordinals_go_on_over_the_parts_of_a_folder(spark, tmp_dir):
+    root = f"{tmp_dir}/csv"
+    rows = spark.range(300).select((F.col("id") % 2).alias("year"), F.col("id").cast("string").alias("journal_id"))
+    N.by_range(rows, ["year", "journal_id"]).write.partitionBy("year").option("header", True).option("compression", "gzip").csv(root)
+    assert len(glob.glob(f"{root}/year=1/*.gz")) > 1
+    got = FS.with_ordinals(FS.read_csv_batch(spark, root, positions=True), folders=True)
+    for year in (0, 1):
+        of = [r.journal_id for r in got.where(F.col("year") == year).orderBy("row_ordinal").collect()]
+        assert of == sorted(str(k) for k in range(300) if k % 2 == year)
+    assert got.agg(F.max("row_ordinal")).first()[0] == 150
+
+
+def test_no_task_writes_a_batch_whole(spark, monkeypatch, tmp_dir):
+    monkeypatch.setattr(N, "ROWS_A_PARTITION", 500)
+    monkeypatch.setattr(catalog, "_scratch", lambda spark, label: f"{tmp_dir}/ordinals")
+    catalog.issue_ordinals(spark, SMOKE_DIR)
+    assert len(glob.glob(f"{tmp_dir}/ordinals/year=1995/part-*")) > 1
