@@ -170,3 +170,32 @@ def test_no_task_writes_a_batch_whole(spark, monkeypatch, tmp_dir):
     monkeypatch.setattr(catalog, "_scratch", lambda spark, label: f"{tmp_dir}/ordinals")
     catalog.issue_ordinals(spark, SMOKE_DIR)
     assert len(glob.glob(f"{tmp_dir}/ordinals/year=1995/part-*")) > 1
+
+
+def test_landing_text_is_not_sorted_by_batch(spark, monkeypatch, tmp_dir):
+    """More values than open files too: what Spark sorts then is whole."""
+    monkeypatch.setattr(catalog, "_scratch", lambda spark, label: f"{tmp_dir}/{label}")
+    held = []
+    monkeypatch.setattr(FS, "read_json_batch", lambda spark, path, **kw: held.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) or READ_JSON(spark, path, **kw))
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    catalog.roundtrip_json_wrapped(spark, SMOKE_DIR)
+    assert held == [before]
+    df = spark.range(0, 500, 1, 2).select((F.col("id") % 10).alias("batch_id"), F.col("id").cast("string").alias("value"))
+    for files in (4, 20):
+        with FS.files_open(spark, files):
+            plans = _plans_of(spark, lambda: df.write.partitionBy("batch_id").text(f"{tmp_dir}/{files}"))
+        assert plans and not any("Sort " in p for p in plans)
+        assert sorted(int(r.value) for r in spark.read.text(f"{tmp_dir}/{files}").collect()) == list(range(500))
+
+
+READ_JSON = FS.read_json_batch
+
+
+def _plans_of(spark, write):
+    """Explained plans of what ``write`` runs, from the status store of its SQL executions."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    write()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    rows = store.executionsList()
+    return [rows.apply(k).physicalPlanDescription() for k in range(before, rows.size())]
