@@ -199,3 +199,31 @@ def _plans_of(spark, write):
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     rows = store.executionsList()
     return [rows.apply(k).physicalPlanDescription() for k in range(before, rows.size())]
+
+
+def test_headers_are_found_without_a_sort_of_the_lines(spark, tmp_dir):
+    for k in range(4):
+        with open(f"{tmp_dir}/{k}.csv", "w") as f:
+            f.write("\n" * k + ("a,b\n1,2\n" if k % 2 else "b,a\n2,1\n") + "9,9\n" * 50)
+    got = []
+    plans = _plans_of(spark, lambda: got.append(FS.read_csv_batch(spark, tmp_dir)))
+    assert any("min_by" in p for p in plans) and not any("SortAggregate" in p for p in plans)
+    assert got[0].where("a = '1' AND b = '2'").count() == 4
+
+
+def test_json_lines_of_a_file_are_parsed_one_by_one(spark, tmp_dir):
+    """A task holds a file's text and one line's objects, not the objects of all lines; nothing is lost or reordered."""
+    import json
+
+    with open(f"{tmp_dir}/lines.json", "w") as f:
+        f.write("\n".join(["", *[json.dumps({"records": [{"journal_id": f"J{n}"}, None]}) for n in range(30)], "{broken", "[]",
+                           json.dumps([{"journal_id": "A"}, {"journal_id": "B"}]), "7"]))
+    with open(f"{tmp_dir}/one.json", "w") as f:
+        json.dump([{"journal_id": f"D{n}"} for n in range(3)], f, indent=1)
+    open(f"{tmp_dir}/empty.json", "w").close()
+    df = FS.read_json_batch(spark, tmp_dir, positions=True)
+    analyzed = df._jdf.queryExecution().analyzed().toString()
+    assert "flatten(" not in analyzed and "explode(" in analyzed
+    rows = FS.with_ordinals(df, "n").where("_source_path LIKE '%lines.json'").orderBy("n").select("journal_id").collect()
+    assert [r[0] for r in rows] == [*[f"J{n}" for n in range(30)], None, "A", "B", None]
+    assert {r[0] for r in df.where("_source_path LIKE '%one.json'").select("journal_id").collect()} == {"D0", "D1", "D2"}
