@@ -199,7 +199,7 @@ def event_payloads(spark: SparkSession, sf_dir: str, keep: list[str] | None = No
     Even event ids carry the account flat (``segment3_account``), odd ones nested
     (``account_segments.account``); the entity comes from the legacy field.
     """
-    ev = table(spark, sf_dir, "events")
+    ev = spread_scan(table(spark, sf_dir, "events"))
     even = (F.col("event_id") % 2) == 0
     payload = F.to_json(F.struct(
         F.concat(F.lit("IC-"), F.col("user_id").cast("string")).alias("journal_id"),

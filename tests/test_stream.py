@@ -116,3 +116,31 @@ def test_bounded_state_loses_and_repeats_nothing(spark, tmp_dir):
     ST.run_available(spark, inbox, root, RUN_TS, bound="20 days")
     assert _bronze(spark, root) == sorted(f"J{n}" for n in [*range(120), 500, 600, 601])
     assert [c[1:] for c in _counters(spark, root)][12:] == [(2, 12, 0), (1, 3, 0)]
+
+
+def test_broken_payloads_are_told_by_the_short_schema(spark):
+    texts = ['{"journal_id": "a"}', '{"journal_id": 1, "description": {"x": [1, "y"]}}', '{"account_segments": {"entity": 3}}', '{"account_segments": [1]}',
+             '{"account_segments": "text", "effective_date": "2024-01-02"}', '{"account_segments": null}', '[{"journal_id": "a"}]', '[{"a": 1}, {"b": 2}]', "[]", "null", "7",
+             '"x"', "", " ", "{", '{"journal_id": "a"', '{"other": {"x": ]}}', '{"other": tru}', '{"other": "\\q"}', '{"other": 01}', "{}", '{"a": 1} {"b": 2}', '{"a": 1} tail',
+             "{'journal_id': 'a'}", '{"journal_id": NaN}', '{"other": "a\tb"}', '{"effective_date": "2024-01-31T10"}', '{"effective_date": 7}', '{"effective_date": {"x": 1}}']
+    df = spark.createDataFrame([(base64.b64encode(t.encode()).decode(),) for t in texts] + [("%%%",), ("",), (None,)], "value string")
+    whole, short = (ST.parse_events(df, *schema).selectExpr("raw_value", "is_corrupt", "e.effective_date").collect() for schema in ((), (ST.JUDGED_SCHEMA,)))
+    assert whole == short and 5 < sum(r.is_corrupt for r in whole) < len(texts)
+
+
+def test_a_payload_is_parsed_once_for_the_state_and_briefly_for_the_counts(spark):
+    df = spark.createDataFrame([("%%%",)], "value string")
+    plan = ST.branches(df, RUN_TS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2 and plan.count("from_json(StructField(journal_id") == 1
+
+
+def test_events_are_dropped_by_many_tasks(spark, monkeypatch, tmp_dir):
+    from fxlake.plans import catalog
+    from tests.conftest import SMOKE_DIR
+
+    monkeypatch.setattr(catalog, "_scratch", lambda spark, label: f"{tmp_dir}/{label}")
+    catalog.stream_watermark(spark, SMOKE_DIR)
+    assert len(os.listdir(f"{tmp_dir}/stream-watermark/inbox")) > 6
+    counters = ST.read_counters(spark, f"{tmp_dir}/stream-watermark").orderBy("epoch").collect()
+    n = spark.read.parquet(f"{SMOKE_DIR}/events.parquet").count()
+    assert len(counters) == 3 and sum(c.accepted for c in counters) == n and counters[-1].skipped == n
