@@ -9,15 +9,17 @@ two kinds, with features of its own:
 * skip: the word before that, where the word before is not of the head.
 
 The class factor has a weight for every (context, class), the factor within the
-class one for every (context, token) seen ``MIN_COUNT`` times or more with a
-token of the head. So the model grows with the pairs that the corpus holds. At
-weight 0 both factors are the add-one frequencies that the base is made of (with
+class one for every (context, token) seen ``MIN_COUNT`` times or more, whether or
+not the token is of the head. Within the class a word outside the head is a context
+of its own too, if training text may hold it ``MIN_COUNT`` times: a bitmap
+(``known``) holds all such words and lets in few others, which have no weight.
+So the model grows with the pairs that the corpus holds. At weight 0 both factors are the add-one frequencies that the base is made of (with
 one share for unseen tokens in class 0), and each sums to one.
 
 Training: one pass sums the pairs over all training tokens; the kept ones are
 dealt out by context, and each task takes gradient updates of the weights of its
 contexts until they are fitted under a Gaussian prior. Contexts share no weight,
-so the tasks need not talk to each other; one holds at most HEAD + classes rows.
+so the tasks need not talk to each other; one holds a context's kept pairs.
 
 Scoring adds up sparse weights: class weights (at most contexts x classes) and
 the ``PAIR_HEAD`` most frequent pairs are broadcast, as is the head of the
@@ -52,9 +54,14 @@ END = np.uint64(0x656E642D746F6B65)
 START = np.uint64(0x73746172742D746F)
 FLUSH = 1 << 20
 BITS_A_PAIR, BUCKETS, BUCKET_BITS = 16, 1 << 14, 1 << 15
-#: A key holds a context above these bits; below is a head token's rank, or 2^17 and a class.
+#: A key holds a context above these bits; below is a head token's rank, or 2^17 and a class (for uses of the class factor alone: and 8).
 LOW = 18
 CLASS_KEY = 1 << 17
+CLASS_ALONE = CLASS_KEY | 8
+#: Rows with a word (else 0): a token outside the head after a context (key: the context and REST), or, where the key is itself a word
+#: outside the head, what follows it: 1 and the class, RANK and the rank, or a word. Names of words and of their weights have the top bit.
+REST, RANK = CLASS_KEY | 16, 16
+TOP = U64(1 << 63)
 
 
 def fold(id_col: str) -> F.Column:
@@ -111,6 +118,33 @@ def contexts(ranks: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def owned(tokens: np.ndarray, ranks: np.ndarray, bounds: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each token is a known word outside the head, and whether the token before it in its text is one."""
+    rest = np.zeros(len(tokens), bool)
+    at = np.flatnonzero(ranks < 0)
+    rest[at] = marked(known, tokens[at].view(np.int64))
+    after = np.zeros(len(tokens), bool)
+    after[1:] = rest[:-1]
+    after[bounds[:-1]] = False
+    return rest, after
+
+
+def _word(tokens: np.ndarray) -> np.ndarray:
+    return (tokens | TOP).view(np.int64)
+
+
+def _name(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The key of a weight of a context and a word, one of which is outside the head."""
+    return _word(mix(mix(context.view(U64)) + word.view(U64)))
+
+
+def _follows(tokens: np.ndarray, ranks: np.ndarray, at: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the tokens at ``at``, all after a known word outside the head: that word, the class, and which of them have a word (and it)."""
+    has = (ranks[at] >= 0) | rest[at]
+    held = at[has]
+    return (_word(tokens[at - 1]), 1 + class_of(ranks[at]), has, np.where(ranks[held] >= 0, RANK + ranks[held], _word(tokens[held])))
+
+
 def _sums(parts, names):
     """Sums of counts by key over (keys, counts) of many slices, flushed as they grow."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -155,16 +189,32 @@ def _keys(ranks: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 @released
 def _count_pairs(batches, shared):
-    head = shared.value
+    head, known = shared.value
+    aside = []
 
     def parts():
         for b in slices(batches, "text"):
             tokens, bounds = token_stream(Words(b.column(0), NOT_SPACE))
             ranks = head.ranks(head.places(tokens)).astype(np.int64)
-            classes, pairs = _keys(ranks, contexts(ranks, bounds, len(head.keys)))
-            yield np.unique(np.concatenate((classes, pairs[pairs >= 0])), return_counts=True)
-
-    yield from _sums(parts(), ["key", "n"])
+            context = contexts(ranks, bounds, len(head.keys))
+            classes, pairs = _keys(ranks, context)
+            rest, after = owned(tokens, ranks, bounds, known)
+            follows, new = np.flatnonzero(after), np.flatnonzero(rest & ~after)
+            word, kind, has, next_word = _follows(tokens, ranks, follows, rest)
+            aside.append((np.concatenate((context[new] << LOW | REST, word, word[has])),
+                          np.concatenate((_word(tokens[new]), kind, next_word))))
+            yield np.unique(np.concatenate((classes, classes[follows] | 8, pairs[(pairs >= 0) & ~after])), return_counts=True)
+
+    def rows():
+        while aside:
+            keys, words = aside.pop()
+            if len(keys):
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(words), pa.array(np.ones(len(keys), np.int64))], ["key", "word", "n"])
+
+    for b in _sums(parts(), ["key", "n"]):
+        yield from rows()
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.zeros(b.num_rows, np.int64)), b.column(1)], ["key", "word", "n"])
+    yield from rows()
 
 
 def fit(first: np.ndarray, n: np.ndarray, total: np.ndarray, base: np.ndarray, updates: int = UPDATES) -> tuple[np.ndarray, np.ndarray]:
@@ -190,11 +240,18 @@ def fit(first: np.ndarray, n: np.ndarray, total: np.ndarray, base: np.ndarray, u
     return w, log_sum
 
 
-def fit_contexts(keys: np.ndarray, n: np.ndarray, token_base: np.ndarray, class_base: np.ndarray,
-                 updates: int = UPDATES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, weights and counts of whole contexts, from sorted counts: per context a row of every class, and its pairs."""
+def fit_contexts(keys: np.ndarray, n: np.ndarray, token_base: np.ndarray, class_base: np.ndarray, updates: int = UPDATES,
+                 words: np.ndarray | None = None, word_base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, weights and counts of whole contexts, from counts sorted by key and word: per context a row of every class, and its pairs.
+
+    ``word_base`` is the probability within class 0 of words outside the head.
+    Rows of CLASS_ALONE hold, for contexts other than n-grams, the part of the classes'
+    weights that belongs to the factor within the class: after a known word it is not used.
+    """
+    if words is None:
+        words, word_base = np.zeros(len(keys), np.int64), np.zeros(len(keys))
     context, low = keys >> LOW, keys & ((1 << LOW) - 1)
-    is_class = low >= CLASS_KEY
+    is_class = (words == 0) & (low >= CLASS_KEY) & (low < CLASS_ALONE)
     # Class factor.
     held, kind = context[is_class], low[is_class] - CLASS_KEY
     names, first = np.unique(held, return_index=True)
@@ -203,78 +260,115 @@ def fit_contexts(keys: np.ndarray, n: np.ndarray, token_base: np.ndarray, class_
     row = np.searchsorted(names, held)
     table[row, kind] = a
     table -= log_sum[:, None]
-    # Within the class; ranks of a class follow each other.
-    pairs = ~is_class
-    cell = context[pairs] * CLASSES + class_of(low[pairs])
+    # Within the class; ranks of a class follow each other, words outside the head are all of class 0.
+    used = np.zeros(table.shape, np.int64)
+    used[row, kind] = n[is_class]
+    alone = (words == 0) & (low >= CLASS_ALONE)
+    used[np.searchsorted(names, context[alone]), low[alone] - CLASS_ALONE] -= n[alone]
+    inner = np.zeros(table.shape)
+    pairs, rest = (words == 0) & (low < CLASS_KEY), (words != 0) & (keys >= 0)
+    found = [np.zeros(0), np.zeros(0)]
+    for k, (which, kinds, base) in enumerate(((pairs, class_of(low[pairs]), token_base[low[pairs]]), (rest, np.zeros(rest.sum(), np.int64), word_base[rest]))):
+        cells, begins = np.unique(context[which] * CLASSES + kinds, return_index=True)
+        at = np.searchsorted(names, cells // CLASSES), cells % CLASSES
+        found[k], log_sum = fit(begins, n[which], used[at], base, updates)
+        inner[at] -= log_sum
+    table += inner
+    split = np.flatnonzero((names >= len(token_base)) & inner.any(axis=1))
+    every, apart = (((names[of] << LOW)[:, None] | mark | np.arange(CLASSES)[None, :]).ravel() for of, mark in ((slice(None), CLASS_KEY), (split, CLASS_ALONE)))
+    # After a word outside the head: rows of a class, and what was seen in it.
+    own = keys < 0
+    names, place = np.unique(keys[own], return_inverse=True)
+    word, times = words[own], n[own]
+    total = (word > 0) & (word < RANK)
+    follow = ~total
+    ranks = np.where(word[follow] < 0, -1, word[follow] - RANK)
+    cell = place[follow] * CLASSES + class_of(ranks)
     cells, begins = np.unique(cell, return_index=True)
-    totals = n[is_class][np.searchsorted(held * CLASSES + kind, cells)]
-    w, log_sum = fit(begins, n[pairs], totals, token_base[low[pairs]], updates)
-    table[np.searchsorted(names, cells // CLASSES), cells % CLASSES] -= log_sum
-    every = ((names << LOW)[:, None] | CLASS_KEY | np.arange(CLASSES)[None, :]).ravel()
-    return (np.concatenate((every, keys[pairs])), np.concatenate((table.ravel(), w)) / np.log(10),
-            np.concatenate((np.zeros(len(every), np.int64), n[pairs])))
+    spot = np.searchsorted(place[total] * CLASSES + word[total] - 1, cells)
+    base = np.where(ranks < 0, word_base[own][follow], token_base[np.maximum(ranks, 0)] if len(token_base) else 0.0)
+    w, log_sum = fit(begins, times[follow], times[total][spot], base, updates)
+    return (np.concatenate((every, apart, keys[pairs], _name(context[rest], words[rest]), _name(names[place[follow]], word[follow]),
+                            _name(names[cells // CLASSES], cells % CLASSES + 1))),
+            np.concatenate((table.ravel(), inner[split].ravel(), *found, w, -log_sum)) / np.log(10),
+            np.concatenate((np.zeros(len(every) + len(apart), np.int64), n[pairs], n[rest], times[follow], times[total][spot])))
 
 
 @released
 def _fit(batches, shared, updates):
-    """Weights of a partition's contexts; rows come sorted by key, every context whole."""
-    token_base, class_base = shared.value
-    keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    """Weights of a partition's contexts; rows come sorted by key and word, every context whole."""
+    token_base, class_base, rest_mass = shared.value
+    held = [np.zeros(0, np.int64)] * 4
 
     def done(upto):
         if upto:
-            out = fit_contexts(keys[:upto], n[:upto], token_base, class_base, updates)
+            keys, words, n, count = (x[:upto] for x in held)
+            out = fit_contexts(keys, n, token_base, class_base, updates, words, (count + 1) / rest_mass)
             for at in range(0, len(out[0]), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(x[at: at + (1 << 16)]) for x in out], ["key", "weight", "n"])
 
     for b in batches:
-        keys = np.concatenate((keys, b.column(0).to_numpy()))
-        n = np.concatenate((n, b.column(1).to_numpy()))
-        upto = int(np.searchsorted(keys, keys[-1] >> LOW << LOW)) if len(keys) else 0
-        yield from done(upto)
-        keys, n = keys[upto:], n[upto:]
-    yield from done(len(keys))
+        if b.num_rows:
+            held = [np.concatenate((x, b.column(k).to_numpy())) for k, x in enumerate(held)]
+            last = held[0][-1]
+            upto = int(np.searchsorted(held[0], last >> LOW << LOW if last >= 0 else last))
+            yield from done(upto)
+            held = [x[upto:] for x in held]
+    yield from done(len(held[0]))
 
 
-_DOC = ("doc long, held boolean, n_tokens long, known long, logs double, context double, "
-        "open array<struct<pair:boolean,key:long,n:int>>")
+_DOC = pa.struct([("doc", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("logs", pa.float64()),
+                  ("context", pa.float64())])
+#: A text has one row with ``doc`` (its key is ``at``, ``pair`` is null), and one for each count or weight to be looked up.
+_ROW = ("at long, pair boolean, key long, times int, "
+        "doc struct<doc:long,held:boolean,n_tokens:long,known:long,logs:double,context:double>")
 
 
-def _lists(doc: np.ndarray, pair: np.ndarray, key: np.ndarray, n_docs: int) -> pa.ListArray:
-    """Per text its distinct (pair, key) with their counts."""
+def _distinct(doc: np.ndarray, pair: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct (doc, pair, key) and how often each occurs."""
     order = np.lexsort((key, pair, doc))
     d, p, k = doc[order], pair[order], key[order]
     first = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (p[1:] != p[:-1]) | (d[1:] != d[:-1])))) if len(k) else np.zeros(0, int)
-    n = np.diff(np.concatenate((first, [len(k)])))
-    return pa.ListArray.from_arrays(pa.array(np.searchsorted(d[first], np.arange(n_docs + 1)), pa.int32()), pa.StructArray.from_arrays(
-        [pa.array(p[first]), pa.array(k[first]), pa.array(n, pa.int32())], ["pair", "key", "n"]))
+    return d[first], p[first], k[first], np.diff(np.concatenate((first, [len(k)]))).astype(np.int32)
 
 
 @released
 def _read(batches, shared):
-    head, table, pair_keys, pair_weights, marks = shared.value
+    head, known, table, inner, pair_keys, pair_weights, marks = shared.value
     logs = np.append(np.log10(head.counts + 1.0), 0.0)
     for b in slices(batches, "text"):
-        tokens, bounds = token_stream(Words(b.column(2), NOT_SPACE))
+        tokens, bounds = token_stream(Words(b.column(3), NOT_SPACE))
         places = head.places(tokens)
         ranks = head.ranks(places).astype(np.int64)
         context = contexts(ranks, bounds, len(head.keys))
         _, pairs = _keys(ranks, context)
-        weight = table[context, class_of(ranks)].astype(float)
-        spot = np.minimum(np.searchsorted(pair_keys, pairs), max(0, len(pair_keys) - 1))
-        common = pair_keys[spot] == pairs if len(pair_keys) else np.zeros(len(pairs), bool)
-        if len(pair_keys):
-            weight += np.where(common, pair_weights[spot], 0.0)
+        rest, after = owned(tokens, ranks, bounds, known)
+        kind = class_of(ranks)
+        weight = table[context, kind].astype(float)
+        follows, new, plain = np.flatnonzero(after), np.flatnonzero(rest & ~after), np.flatnonzero((pairs >= 0) & ~after)
+        weight[follows] -= inner[context[follows], kind[follows]]
+        word, kinds, has, next_word = _follows(tokens, ranks, follows, rest)
+        at = np.concatenate((plain, new, follows, follows[has]))
+        keys = np.concatenate((pairs[plain], _name(context[new], _word(tokens[new])), _name(word, kinds), _name(word[has], next_word)))
         n_docs = b.num_rows
         doc = np.repeat(np.arange(n_docs), np.diff(bounds))
-        rare, open_pair = np.flatnonzero(places < 0), np.flatnonzero((pairs >= 0) & ~common)
-        open_pair = open_pair[marked(marks, pairs[open_pair])]
-        lists = _lists(np.concatenate((doc[rare], doc[open_pair])), np.repeat([False, True], [len(rare), len(open_pair)]),
-                       np.concatenate((tokens[rare].view(np.int64), pairs[open_pair])), n_docs)
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), pa.array(np.diff(bounds), pa.int64()), pa.array(np.bincount(doc, places >= 0, n_docs).astype(np.int64)),
-             pa.array(np.bincount(doc, logs[places], n_docs)), pa.array(np.bincount(doc, weight, n_docs)), lists],
-            ["doc", "held", "n_tokens", "known", "logs", "context", "open"])
+        context_sum = np.bincount(doc, weight, n_docs)
+        if len(pair_keys):
+            spot = np.minimum(np.searchsorted(pair_keys, keys), len(pair_keys) - 1)
+            common = pair_keys[spot] == keys
+            context_sum += np.bincount(doc[at[common]], pair_weights[spot[common]], n_docs)
+            at, keys = at[~common], keys[~common]
+        rare, hit = np.flatnonzero(places < 0), marked(marks, keys)
+        at, keys = at[hit], keys[hit]
+        ids = b.column(0)
+        of, pair, key, times = _distinct(np.concatenate((doc[rare], doc[at])), np.repeat([False, True], [len(rare), len(at)]),
+                                         np.concatenate((tokens[rare].view(np.int64), keys)))
+        told = pa.StructArray.from_arrays(
+            [b.column(1), b.column(2), pa.array(np.diff(bounds), pa.int64()), pa.array(np.bincount(doc, places >= 0, n_docs).astype(np.int64)),
+             pa.array(np.bincount(doc, logs[places], n_docs)), pa.array(context_sum)], fields=list(_DOC))
+        for columns in ([ids, pa.nulls(n_docs, pa.bool_()), ids, pa.nulls(n_docs, pa.int32()), told],
+                        [ids.take(pa.array(of)), pa.array(pair), pa.array(key), pa.array(times), pa.nulls(len(of), _DOC)]):
+            yield pa.RecordBatch.from_arrays(columns, ["at", "pair", "key", "times", "doc"])
 
 
 def _places(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -306,10 +400,12 @@ def mark(keys: DataFrame) -> np.ndarray:
 
 
 class Model:
-    """Head of the vocabulary, class weights, pair weights (a stored table), their head and their bitmap."""
+    """Head of the vocabulary, bitmap of the other known words, class weights, the part of them that is of the factor within the
+    class, pair weights (a stored table), their head and their bitmap."""
 
-    def __init__(self, head: Head, table: np.ndarray, pairs: DataFrame, pair_keys: np.ndarray, pair_weights: np.ndarray, marks: np.ndarray):
-        self.head, self.table, self.pairs = head, table, pairs
+    def __init__(self, head: Head, known: np.ndarray, table: np.ndarray, inner: np.ndarray, pairs: DataFrame, pair_keys: np.ndarray,
+                 pair_weights: np.ndarray, marks: np.ndarray):
+        self.head, self.known, self.table, self.inner, self.pairs = head, known, table, inner, pairs
         self.pair_keys, self.pair_weights, self.marks = pair_keys, pair_weights, marks
 
 
@@ -323,53 +419,72 @@ def bases(head: Head, n_all: int, vocabulary: int) -> tuple[np.ndarray, np.ndarr
     return (counts + 1.0) / mass[kind], mass / (n_all + vocabulary + 1)
 
 
-def train(texts: DataFrame, head: Head, n_all: int, vocabulary: int, updates: int = UPDATES, pair_head: int = PAIR_HEAD) -> Model:
-    """The model of all training texts (one column, ``text``)."""
+def train(texts: DataFrame, head: Head, n_all: int, vocabulary: int, updates: int = UPDATES, pair_head: int = PAIR_HEAD,
+          rest: DataFrame | None = None) -> Model:
+    """The model of all training texts (one column, ``text``). ``rest``: words outside the head to have weights (key, n)."""
     spark = texts.sparkSession
-    known, base = spark.sparkContext.broadcast(head), spark.sparkContext.broadcast(bases(head, n_all, vocabulary))
-    is_class = F.col("key").bitwiseAND(CLASS_KEY) != 0
-    counted = (texts.mapInArrow(lambda b: _count_pairs(b, known), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-               .where(is_class | (F.col("n") >= MIN_COUNT)))
-    fitted = stage_table(counted.repartition(F.shiftright("key", LOW)).sortWithinPartitions("key")
+    token_base, class_base = bases(head, n_all, vocabulary)
+    known = np.zeros(BUCKET_BITS // 8, np.uint8) if rest is None else mark(rest.select("key"))
+    words = spark.sparkContext.broadcast((head, known))
+    base = spark.sparkContext.broadcast((token_base, class_base, class_base[0] * (n_all + vocabulary + 1)))
+    is_class = (F.col("key") >= 0) & (F.col("key").bitwiseAND(CLASS_KEY) != 0)
+    counted = (texts.mapInArrow(lambda b: _count_pairs(b, words), "key long, word long, n long").groupBy("key", "word").agg(F.sum("n").alias("n"))
+               .where((F.col("word") == 0) & is_class | (F.col("n") >= MIN_COUNT)))
+    none = F.lit(0).cast("long").alias("count")
+    if rest is None:
+        counted = counted.select("*", none)
+    else:
+        # Counts are positive: as the conditions name n, both sides read the same grouped rows, which are made once.
+        named = rest.groupBy(F.col("key").bitwiseOR(F.lit(-1 << 63)).alias("word")).agg(F.sum("n").alias("count"))
+        counted = counted.where("least(word, n) >= 0").select("*", none).unionByName(
+            counted.where("least(word, n) < 0").join(named, "word", "left").select("key", "word", "n", "count"))
+    context = F.when(F.col("key") < 0, F.col("key")).otherwise(F.shiftright("key", LOW))
+    fitted = stage_table(counted.repartition(context).sortWithinPartitions("key", "word")
                          .mapInArrow(lambda b: _fit(b, base, updates), "key long, weight double, n long"), "lm-weights")
-    # At most contexts x classes rows.
+    # At most contexts x classes rows, twice.
     rows = fitted.where(is_class).select("key", F.col("weight").cast("float").alias("weight")).toArrow()
-    table = np.zeros((head.contexts, CLASSES), np.float32)
-    keys = rows["key"].to_numpy()
-    table[keys >> LOW, keys & (CLASS_KEY - 1)] = rows["weight"].to_numpy()
+    keys, weights = rows["key"].to_numpy(), rows["weight"].to_numpy()
+    low = keys & (CLASS_KEY - 1)
+    table, inner = np.zeros((2, head.contexts, CLASSES), np.float32)
+    for out, which, less in ((table, low < 8, 0), (inner, low >= 8, 8)):
+        out[keys[which] >> LOW, low[which] - less] = weights[which]
     pairs = fitted.where(~is_class)
     top = pairs.orderBy(F.desc("n"), "key").limit(pair_head).select("key", "weight").toArrow()
     order = np.argsort(top["key"].to_numpy())
-    return Model(head, table, pairs, top["key"].to_numpy()[order], top["weight"].to_numpy()[order], mark(pairs.select("key")))
+    return Model(head, known, table, inner, pairs, top["key"].to_numpy()[order], top["weight"].to_numpy()[order], mark(pairs.select("key")))
 
 
-def score(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD,
-          updates: int = UPDATES, pair_head: int = PAIR_HEAD) -> DataFrame:
-    """Per row: doc, held_out, n_tokens, n_known, train_tokens, base_score and score (log10)."""
+def score(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", head: int | None = None,
+          updates: int = UPDATES, pair_head: int = PAIR_HEAD, table: int = HEAD) -> DataFrame:
+    """Per row: doc, held_out, n_tokens, n_known, train_tokens, base_score and score (log10).
+
+    ``head``: how many of the most frequent tokens have weights in pairs (None: all of them; ``table``, which are broadcast, then have classes by rank).
+    """
     spark = documents.sparkSession
     small_batches(spark)
-    body = documents.select(F.col(id_col).try_cast("long").alias("doc"), (fold(id_col) == HELD_FOLD).alias("held"),
+    body = documents.select(F.monotonically_increasing_id().alias("at"), F.col(id_col).try_cast("long").alias("doc"), (fold(id_col) == HELD_FOLD).alias("held"),
                             F.col(text_col).cast("string").alias("text"))
     texts = body.where(~F.col("held")).select("text")
     tokens = stage_table(texts.mapInArrow(_count_tokens, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "lm-tokens")
     n_all, vocabulary = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = tokens.orderBy(F.desc("n"), "key").limit(min(head, HEAD)).select("key", "n").toArrow()
+    top = tokens.orderBy(F.desc("n"), "key").limit(min(table if head is None else head, HEAD)).select("key", "n").toArrow()
     counts = top["n"].to_numpy()
-    model = train(texts, Head(top["key"].to_numpy().view(np.uint64), counts), n_all, vocabulary, updates, pair_head)
-    shared = spark.sparkContext.broadcast((model.head, model.table, model.pair_keys, model.pair_weights, model.marks))
-    read = stage_table(body.mapInArrow(lambda b: _read(b, shared), _DOC).withColumn("at", F.monotonically_increasing_id()), "lm-read")
-    # What the broadcast heads do not answer: counts of rare tokens, weights of rare pairs.
     floor = int(counts.min()) if len(counts) else 0
+    rest = tokens.where((F.col("n") >= MIN_COUNT) & (F.col("n") <= floor)) if head is None else None
+    model = train(texts, Head(top["key"].to_numpy().view(np.uint64), counts), n_all, vocabulary, updates, pair_head, rest)
+    shared = spark.sparkContext.broadcast((model.head, model.known, model.table, model.inner, model.pair_keys, model.pair_weights, model.marks))
+    read = body.mapInArrow(lambda b: _read(b, shared), _ROW)
+    # What the broadcast heads do not answer: counts of rare tokens, weights of rare pairs.
     known = (tokens.where(F.col("n") <= floor).select(F.lit(False).alias("pair"), "key", F.log10(F.col("n") + 1).alias("value"))
              .unionByName(model.pairs.select(F.lit(True).alias("pair"), "key", F.col("weight").alias("value"))))
     times, word = F.col("times"), ~F.col("pair")
-    more = (read.select("at", F.explode("open").alias("r")).select("at", "r.pair", "r.key", F.col("r.n").alias("times"))
-            .join(known, ["pair", "key"])
-            .groupBy("at").agg(F.sum(F.when(word, times)).alias("more"), F.sum(F.when(word, times * F.col("value"))).alias("more_logs"),
-                               F.sum(F.when(~word, times * F.col("value"))).alias("more_weights")))
-    zero = F.lit(0.0)
+    zero, told = F.lit(0.0), [F.max(f"doc.{c}").alias(c) for c in ("doc", "held", "n_tokens", "known", "logs", "context")]
+    found = F.col("value").isNotNull()
+    sums = (read.join(known, ["pair", "key"], "left").groupBy("at")
+            .agg(*told, F.sum(F.when(word & found, times)).alias("more"), F.sum(F.when(word, times * F.col("value"))).alias("more_logs"),
+                 F.sum(F.when(~word, times * F.col("value"))).alias("more_weights")))
     base = F.col("logs") + F.coalesce("more_logs", zero) - F.col("n_tokens") * float(np.log10(n_all + vocabulary + 1))
-    return read.join(more, "at", "left").select(
+    return sums.select(
         "doc", F.col("held").alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"), base.alias("base_score"),
         (base + F.col("context") + F.coalesce("more_weights", zero)).alias("score"))

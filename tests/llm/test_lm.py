@@ -112,6 +112,90 @@ def test_score_matches_the_definitions(spark, head, pair_head):
         assert math.isclose(r.score - r.base_score, gain(tokens[r.doc]), rel_tol=1e-5, abs_tol=1e-4), r.doc
 
 
+def plain_gain(texts, head, known, updates):
+    """As plain_model, where words outside the head have weights too; ``known`` says which of them are contexts."""
+    counts = Counter(x for t in texts for x in t)
+    total = sum(counts.values()) + len(counts) + 1
+    ranks = {x: k for k, x in enumerate(head)}
+    kind = lambda x: 0 if x not in ranks else next(c for c in range(1, 7) if ranks[x] < 8 ** c)
+    mass = Counter()
+    for x in head:
+        mass[kind(x)] += counts[x] + 1
+    mass[0] = total - sum(mass.values())
+
+    def uses(t):
+        for k, x in enumerate(t):
+            before, skipped = t[k - 1] if k else "START", t[k - 2] if k > 1 else "START"
+            if not k or before in ranks:
+                yield ("word", before), ("word", before), x
+            else:
+                skip = ("skip", skipped) if skipped in ranks else ("none",)
+                yield skip, ("word", before) if known(before) else skip, x
+
+    classes, within, cells = {}, Counter(), Counter()
+    for outer, inner, x in (u for t in texts for u in uses(t)):
+        classes.setdefault(outer, Counter())[kind(x)] += 1
+        cells[inner, kind(x)] += 1
+        within[inner, x] += 1
+    groups = {}
+    for (c, x), n in within.items():
+        if n >= lm.MIN_COUNT:
+            groups.setdefault((c, kind(x)), {})[x] = n
+
+    def fitted(group, seen, base):
+        w = dict.fromkeys(group, 0.0)
+        for turn in range(updates + 1):
+            z = 1 + sum(base[m] * (math.exp(w[m]) - 1) for m in group)
+            if turn == updates:
+                return w, math.log(z)
+            for m, n in group.items():
+                e = seen * base[m] * math.exp(w[m]) / z
+                w[m] += max(-1, min(1, (n - e - lm.PRIOR * w[m]) / (e + lm.PRIOR)))
+
+    class_fit = {c: fitted(g, sum(g.values()), {k: mass[k] / total for k in range(7)}) for c, g in classes.items()}
+    word_fit = {c: fitted(g, cells[c], {x: (counts[x] + 1) / mass[c[1]] for x in g}) for c, g in groups.items()}
+
+    def gain(t):
+        out = 0.0
+        for outer, inner, x in uses(t):
+            for fits, c, member in ((class_fit, outer, kind(x)), (word_fit, (inner, kind(x)), x)):
+                if c in fits:
+                    out += fits[c][0].get(member, 0.0) - fits[c][1]
+        return out / math.log(10)
+
+    return gain, sum(c[0] == "word" and c[1] not in ranks and c[1] != "START" or x not in ranks for (c, _), g in groups.items() for x in g)
+
+
+@pytest.mark.parametrize("table,pair_head", [(30, 5), (12, 0), (12, lm.PAIR_HEAD)])
+def test_words_outside_the_head_have_weights(spark, table, pair_head):
+    """Only a few words are broadcast: pairs of, and after, all others count as well; words seen once leave the word before them."""
+    documents = [(k, prose(k % 37, 40, 2) + f" once{k} after once{k}x twice{k // 2} " + prose(k % 5, 9, 2)) for k in range(120)]
+    documents += [(500, None), (501, "unseen words only"), (502, "aa0 unseen ba1 " + prose(3, 40, 2))]
+    tokens = {d: WORD.findall(lower(t)) + [None] for d, t in documents}
+    train = [t for d, t in tokens.items() if zlib.crc32(str(d).encode()) % 7 != 2]
+    counts = Counter(x for t in train for x in t)
+    names = list({x for t in tokens.values() for x in t if x is not None})
+    hashes = dict(zip(names, Words(pa.array([" ".join(names)]), NOT_SPACE).hashes.view(np.int64).tolist()))
+    hashes[None] = int(np.array([lm.END]).view(np.int64)[0])
+    order = sorted(counts, key=lambda x: (-counts[x], hashes[x]))[:table]
+    floor = counts[order[-1]]
+    place = lambda x: int(lm._places(np.array([hashes[x]]), 1)[0])
+    bits = {place(x) for x in counts if lm.MIN_COUNT <= counts[x] <= floor}
+    gain, rest = plain_gain(train, order, lambda x: place(x) in bits, 6)
+    assert rest > 100
+    for r in lm.score(make(spark, documents), table=table, updates=6, pair_head=pair_head).collect():
+        assert math.isclose(r.score - r.base_score, gain(tokens[r.doc]), rel_tol=1e-5, abs_tol=1e-4), r.doc
+
+
+def test_texts_of_rare_words_gain_by_being_seen_twice(spark):
+    """No word of them is of the head; the copies are trained on, so their pairs are known."""
+    trained = [k for k in range(400) if zlib.crc32(str(k).encode()) % 7 != 2]
+    rare = " ".join(f"rare{k}" for k in range(30))
+    documents = [(k, prose(k, 60, 3)) for k in trained[2:200]] + [(k, rare) for k in trained[:2]]
+    got = {r.doc: r for r in lm.score(make(spark, documents), table=100).collect()}
+    assert got[trained[0]].score - got[trained[0]].base_score > 0.5 * 29
+
+
 def test_probabilities_sum_to_one():
     """Of every context, over the head and what stands for all other tokens."""
     r = np.random.default_rng(1)
