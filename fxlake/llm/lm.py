@@ -480,7 +480,7 @@ def score(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     times, word = F.col("times"), ~F.col("pair")
     zero, told = F.lit(0.0), [F.max(f"doc.{c}").alias(c) for c in ("doc", "held", "n_tokens", "known", "logs", "context")]
     found = F.col("value").isNotNull()
-    sums = (read.join(known, ["pair", "key"], "left").groupBy("at")
+    sums = (read.join(known, ["key", "pair"], "left").groupBy("at")
             .agg(*told, F.sum(F.when(word & found, times)).alias("more"), F.sum(F.when(word, times * F.col("value"))).alias("more_logs"),
                  F.sum(F.when(~word, times * F.col("value"))).alias("more_weights")))
     base = F.col("logs") + F.coalesce("more_logs", zero) - F.col("n_tokens") * float(np.log10(n_all + vocabulary + 1))
