@@ -13,14 +13,14 @@ from tests.conftest import SMOKE_DIR
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SMOKE_DIR, t + '.parquet')}')")
     return con
 
 
 def test_registered():
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in QUERIES} and set(QUERIES) <= names
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in QUERIES} and set(QUERIES) <= names
     assert "pipeline" in names and set(ORACLES) <= set(entry.oracle_sql())
 
 
