@@ -194,11 +194,17 @@ READ_JSON = FS.read_json_batch
 def _plans_of(spark, write):
     """Explained plans of what ``write`` runs, from the status store of its SQL executions."""
     store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
+    bus = spark.sparkContext._jsc.sc().listenerBus()
+
+    def all_kept():
+        bus.waitUntilEmpty()
+        rows = store.executionsList()
+        return {rows.apply(k).executionId(): rows.apply(k) for k in range(rows.size())}
+
+    # By their ids: the store keeps the last thousand only.
+    before = max(all_kept(), default=-1)
     write()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    rows = store.executionsList()
-    return [rows.apply(k).physicalPlanDescription() for k in range(before, rows.size())]
+    return [row.physicalPlanDescription() for k, row in sorted(all_kept().items()) if k > before]
 
 
 def test_headers_are_found_without_a_sort_of_the_lines(spark, tmp_dir):
