@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fxlake.session import stage_table
+from fxlake.session import drop_table, release, stage_table
 
 FANOUT = 8
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -101,6 +101,7 @@ def _ranked(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     local = (placed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_at")
              .withColumn("_pid", F.spark_partition_id()).withColumn("_mono", F.monotonically_increasing_id()))
     local = stage_table(local, "manifest-sorted")
+    drop_table(placed)
     # At most one row a partition and one more a group.
     held = local.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_rows"), F.min("_mono").alias("_first"))
     w = Window.partitionBy(group).orderBy("_pid")
@@ -173,7 +174,9 @@ def prove(tree: Manifest, requests: DataFrame | None = None) -> DataFrame:
     if height:
         frontier = asked(entry(height), height)
         for h in range(height, 1, -1):
-            frontier = asked(_step(frontier, tree.records[h - 1], keys, "idx").unionByName(entry(h - 1)), h - 1)
+            # A table a height: one plan over all heights, made anew after each of its stages, is what a driver holds most of.
+            frontier = stage_table(asked(_step(frontier, tree.records[h - 1], keys, "idx").unionByName(entry(h - 1)), h - 1), "manifest-frontier")
+        release(tree.leaves.sparkSession)
         # The last digit is taken where the leaves meet their parent: paths travel once a run, not once a leaf.
         parents = _open(frontier, tree.records[0]).select(F.col("grp").alias("_grp"), F.col("idx").alias("_idx"), "subroot", "root", "path", "children")
         pos = (F.col("idx") % FANOUT).cast("int")

@@ -102,3 +102,14 @@ def test_only_requested_leaves(spark):
 @pytest.mark.parametrize("rows", [[], [(1, None, None, None, None)]])
 def test_empty_and_lone(spark, rows):
     assert answer(spark, rows) == (brute(rows) if rows else [])
+
+
+def test_the_plan_of_the_proofs_does_not_grow_with_the_tree(spark):
+    joins = []
+    for n in (70, 600):
+        documents = spark.range(0, n, 1, 3).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).alias("n_chars"))
+        tree = manifest.build(documents)
+        proofs = manifest.prove(tree)
+        assert len(tree.records) == (3 if n == 70 else 4) and proofs.where("node <> leaf").count() == 0 and proofs.count() == n
+        joins.append(proofs._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+    assert joins[0] == joins[1]
