@@ -233,3 +233,55 @@ def test_json_lines_of_a_file_are_parsed_one_by_one(spark, tmp_dir):
     rows = FS.with_ordinals(df, "n").where("_source_path LIKE '%lines.json'").orderBy("n").select("journal_id").collect()
     assert [r[0] for r in rows] == [*[f"J{n}" for n in range(30)], None, "A", "B", None]
     assert {r[0] for r in df.where("_source_path LIKE '%one.json'").select("journal_id").collect()} == {"D0", "D1", "D2"}
+
+
+def test_a_sink_makes_its_rows_once_and_clears_batches_without_any(spark, tmp_dir):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(v):
+        made.add(1)
+        return v
+
+    batches = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "batch_id string")
+    for k, names in enumerate((["a", "b"], ["a"])):
+        rows = spark.createDataFrame([(b, k) for b in names for _ in range(5)], "batch_id string, v int").select("batch_id", F.udf(seen, "int")("v").alias("v"))
+        FS.write_partitioned(rows, f"{tmp_dir}/t", ["batch_id"], batches=batches)
+    assert made.value == 15
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_dir}/t").select("batch_id", "v").collect()] == [("a", 1)] * 5
+    assert sorted(os.path.basename(x) for x in glob.glob(f"{tmp_dir}/t/batch_id=*")) == ["batch_id=a"]
+
+
+def test_stage_tables_of_a_lake_table_are_removed_when_it_is_written(spark):
+    from fxlake import session
+
+    kept = session.stage_table(spark.range(5), "kept")
+    made = []
+
+    def build():
+        made.append(session.stage_table(spark.range(7), "made"))
+        return made[0]
+
+    table = session.lake_table(spark, "t", os.urandom(8).hex(), build)
+    assert table.count() == 7 and kept.count() == 5
+    assert not os.path.exists(made[0]._stage) and os.path.exists(kept._stage)
+    session.drop_table(kept)
+    assert not os.path.exists(kept._stage)
+
+
+def test_geos_of_lines_come_without_a_lambda_a_line(spark):
+    rows = [("x", "AP", None), ("x", "AP", "EU"), ("y", "AP", "EU"), ("y", "AP", "??"), ("z", "AR", "??"), ("z", "XX", None)]
+    out = E.with_targets(spark.createDataFrame(rows, "batch_id string, ledger_source string, geo_tag string"), ["EU", "US"], ["AP", "AR"])
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r.batch_id, str(r.geo_tag), [(t.geo, t.is_fallback) for t in r[E.TARGETS]]) for r in out.collect())
+    assert got == [("x", "EU", [("EU", False)]), ("x", "None", [("EU", False), ("US", False)]), ("y", "??", [("US", True)]),
+                   ("y", "EU", [("EU", False), ("US", True)]), ("z", "??", [("EU", True), ("US", True)])]
+
+
+def test_packed_json_is_taken_for_the_text_it_may_hold(spark, tmp_dir):
+    lines = spark.range(0, 4000, 1, 1).select(F.format_string('{"journal_id":"J%08d","ledger_id":"a long and even name"}', "id").alias("value"))
+    lines.write.option("compression", "gzip").text(f"{tmp_dir}/in")
+    size = max(os.path.getsize(f) for f in glob.glob(f"{tmp_dir}/in/*.gz"))
+    assert FS._large_files(spark, f"{tmp_dir}/in", 2 * size) and not FS._large_files(spark, f"{tmp_dir}/in", FS.TEXT_A_BYTE * size)
+    plan = _plan(FS.read_json_batch(spark, f"{tmp_dir}/in", whole_bytes=2 * size))
+    got = [FS.read_json_batch(spark, f"{tmp_dir}/in", whole_bytes=n).select("journal_id", "ledger_id") for n in (2 * size, 1 << 30)]
+    assert "json" in plan and got[0].count() == 4000 and got[0].exceptAll(got[1]).count() == 0
